@@ -50,7 +50,9 @@ def ngrams(token_list: Column, n: int) -> Column:
     if n == 1:
         return token_list
     starts = F.slice(token_list, 1, F.greatest(F.size(token_list) - (n - 1), F.lit(0)))
-    return F.transform(starts, lambda _, i: F.array_join(F.slice(token_list, i + 1, n), " "))
+    return F.transform(
+        starts, lambda w, i: F.concat_ws(" ", w, *[F.get(token_list, i + F.lit(k)) for k in range(1, n)])
+    )
 
 
 def normalize_mention(mention: Column) -> Column:

@@ -59,6 +59,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     """
     order = list(order_by or [])
     order += [F.col(c) for c in df.columns if c not in keys]
+    if not order:
+        return df.distinct()
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 

@@ -116,11 +116,11 @@ def nearest_in_grid(
     blocks = max(1, math.ceil(asked.count() / block_rows))
     left = asked.select(
         "id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("bigint").alias("shard"),
+        F.explode(_numbers(shards)).alias("shard"),
     )
     right = stored.select(
         "id", "v", F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("block"),
+        F.explode(_numbers(blocks)).alias("block"),
     )
     def meet(some_queries: pd.DataFrame, some_rows: pd.DataFrame) -> pd.DataFrame:
         if not len(some_queries) or not len(some_rows):
@@ -135,6 +135,10 @@ def nearest_in_grid(
     return _merge(met, k)
 
 
+def _numbers(n: int):
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
+
+
 def lookup(requested: DataFrame, known: DataFrame, id_col: str = "hadm_id") -> DataFrame:
     """Requested ids with ``found``; unknown ones are reported instead of dropped."""
     marked = known.select(id_col).distinct().withColumn("found", F.lit(True))

@@ -9,6 +9,7 @@ row predicates: the data itself is neither shuffled nor ranked.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -166,8 +167,12 @@ def split_exact(df: DataFrame, key: str, seed: int = 42, train: float = 0.8, val
 
 def split_hash(df: DataFrame, key: str, seed: int = 42, train: float = 0.8, validation: float = 0.1) -> DataFrame:
     """As ``split_exact`` with shares that hold approximately; one pass, and stable when rows are added."""
-    share = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("double") / float(16**8)
-    split = F.when(share < train, "train").when(share < round(train + validation, 12), "val").otherwise("test")
+    digits = F.substring(hash_order(key, seed), 1, 8)
+
+    def below(share: float) -> Column:
+        return F.lit(True) if share >= 1 else digits < f"{math.ceil(share * 16**8):08x}"
+
+    split = F.when(below(train), "train").when(below(round(train + validation, 12)), "val").otherwise("test")
     return df.withColumn("split", split)
 
 
