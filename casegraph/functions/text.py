@@ -29,7 +29,7 @@ NOTE_WINDOW_WORDS = 350
 
 def words(text: Column) -> Column:
     """Split on Unicode whitespace, without empty words."""
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"(?U)\s+"), "")
 
 
 def first_words(text: Column, n: int = NOTE_WINDOW_WORDS) -> Column:
@@ -42,17 +42,19 @@ def is_blank(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits of the whole text."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def ngrams(token_list: Column, n: int) -> Column:
-    """All runs of ``n`` tokens joined by a blank."""
-    if n == 1:
-        return token_list
-    starts = F.slice(token_list, 1, F.greatest(F.size(token_list) - (n - 1), F.lit(0)))
-    return F.transform(
-        starts, lambda w, i: F.concat_ws(" ", w, *[F.get(token_list, i + F.lit(k)) for k in range(1, n)])
-    )
+def token_runs(token_list: Column, n: int) -> Column:
+    """For each token the struct of itself and the ``n - 1`` tokens after it (null past the end).
+
+    Built by zipping the list with its shifted copies: a lambda that looks into the whole
+    list would evaluate it once per token.
+    """
+    shifted = [
+        F.slice(token_list, k + 1, F.greatest(F.size(token_list) - k, F.lit(0))) for k in range(1, n)
+    ]
+    return F.arrays_zip(token_list, *shifted)
 
 
 def normalize_mention(mention: Column) -> Column:

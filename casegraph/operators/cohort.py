@@ -23,6 +23,19 @@ def restrict(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return table.join(ids.select(key), key, "left_semi")
 
 
+def restrict_wide(table: DataFrame, ids: DataFrame, key: str, by: str, how: str = "left_semi", parts: int = 16) -> DataFrame:
+    """``restrict`` (or its complement, ``left_anti``) for rows that are costly to process afterwards, such as notes.
+
+    The rows of one id are spread over ``parts`` groups by the content of column ``by``. A later
+    aggregation by id then cannot inherit the partitioning of this join, which would leave
+    all notes of one id to one task.
+    """
+    copies = F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))
+    spread = ids.select(key).distinct().withColumn("_group", F.explode(copies))
+    grouped = table.withColumn("_group", F.pmod(F.xxhash64(by), F.lit(parts)))
+    return grouped.join(spread, [key, "_group"], how).select(*table.columns)
+
+
 def restrict_parents(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     """Rows of ``parents`` referenced by ``children`` (patients of the kept admissions)."""
     return restrict(parents, cohort_ids(children, key), key)

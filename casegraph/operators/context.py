@@ -68,13 +68,13 @@ def case_profiles(graph: CaseGraph, ids: DataFrame | None = None) -> DataFrame:
     """One row per admission (of ``ids`` if given): properties and the sets of its neighbours by edge type.
 
     Each edge type is reduced to one row per case before it is joined, so the edge types
-    do not multiply each other.
+    do not multiply each other; parallel edges are dropped before anything is keyed by case.
     """
     nodes = graph.nodes["Admission"]
     if ids is not None:
         ids = ids.select("hadm_id").distinct()
         nodes = nodes.join(ids, "hadm_id", "left_semi")
-    lists = [c for c in ("symptoms", "diseases", "medications")]
+    lists = ("symptoms", "diseases", "medications")
     extracted = [
         F.col(f"extracted_{c}") if f"extracted_{c}" in nodes.columns else F.lit(None).cast("array<string>") for c in lists
     ]
@@ -83,7 +83,7 @@ def case_profiles(graph: CaseGraph, ids: DataFrame | None = None) -> DataFrame:
         *[column.alias(f"nlp_{name}") for column, name in zip(extracted, lists)],
     )
     for name, (edge_type, item) in _LISTS.items():
-        edges = graph.edges[edge_type].select("hadm_id", F.col(item).cast("string").alias("item"))
+        edges = graph.edges[edge_type].select("hadm_id", F.col(item).cast("string").alias("item")).distinct()
         if ids is not None:
             edges = edges.join(ids, "hadm_id", "left_semi")
         found = edges.groupBy("hadm_id").agg(F.array_sort(F.collect_set("item")).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casegraph.functions import text as tx
-from casegraph.operators.cohort import drop_missing, restrict
+from casegraph.operators.cohort import drop_missing, restrict_wide
 from casegraph.session import fits
 
 KINDS = ("symptom", "disease", "medication")
@@ -20,12 +20,12 @@ MAX_BROADCAST_TERMS = 1_000_000
 
 def select_notes(notes: DataFrame, cases: DataFrame, id_col: str = "hadm_id", text_col: str = "text") -> DataFrame:
     """Notes with text that belong to known cases."""
-    return drop_missing(restrict(notes, cases, id_col), [id_col, text_col])
+    return restrict_wide(drop_missing(notes, [id_col, text_col]), cases, id_col, text_col)
 
 
-def pending_notes(notes: DataFrame, done: DataFrame, id_col: str = "hadm_id") -> DataFrame:
+def pending_notes(notes: DataFrame, done: DataFrame, id_col: str = "hadm_id", text_col: str = "text") -> DataFrame:
     """Notes of cases without a stored result."""
-    return notes.join(done.select(id_col).distinct(), id_col, "left_anti")
+    return restrict_wide(notes, done, id_col, text_col, "left_anti")
 
 
 def dictionary_mentions(
@@ -33,22 +33,32 @@ def dictionary_mentions(
 ) -> DataFrame:
     """Occurrences of the ``(term, kind)`` rows of ``dictionary`` in the whole text of each note.
 
-    Result: id, term, kind and ``n`` occurrences. Terms match runs of up to
-    ``max_term_words`` tokens. Tokens are filtered by the dictionary in the same stage in
-    which they are produced; only matches, already counted per task, are shuffled.
+    Result: id, term, kind and ``n`` occurrences. A term is a run of up to
+    ``max_term_words`` tokens. Each token is looked up as the first word of a term, and the
+    words after it decide; this happens in the stage that produces the tokens, and only
+    matches, already counted per task, are shuffled.
     """
-    terms = dictionary.select(
-        F.array_join(tx.tokens(F.col("term")), " ").alias("term"), "kind"
-    ).where(F.size(F.split("term", " ")) <= max_term_words).distinct()
+    places = range(1, max_term_words + 1)
+    words = tx.tokens(F.col("term"))
+    terms = (
+        dictionary.where((F.size(words) > 0) & (F.size(words) <= max_term_words))
+        .select(words.alias("_words"), "kind").distinct()
+        .select(
+            F.array_join("_words", " ").alias("term"), "kind",
+            *[F.get("_words", F.lit(i - 1)).alias(f"t{i}") for i in places],
+        )
+    )
     if fits(terms, MAX_BROADCAST_TERMS):
         terms = F.broadcast(terms)
-    grams = F.flatten(F.array(*[tx.ngrams(F.col("_tokens"), n) for n in range(1, max_term_words + 1)]))
-    found = (
-        notes.select(id_col, tx.tokens(F.col(text_col)).alias("_tokens"))
-        .select(id_col, F.explode(grams).alias("term"))
-        .join(terms, "term")
+    # A plain explode or inline would make the optimizer test the size of the list below the
+    # tokenisation, which repeats it; the null row of the outer form finds no partner in the join.
+    runs = notes.select(id_col, tx.tokens(F.col(text_col)).alias("_tokens")).select(
+        id_col, F.inline_outer(tx.token_runs(F.col("_tokens"), max_term_words)).alias(*[f"w{i}" for i in places])
     )
-    return found.groupBy(id_col, "term", "kind").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("w1") == F.col("t1")
+    for i in places[1:]:
+        same = same & (F.col(f"t{i}").isNull() | (F.col(f"t{i}") == F.col(f"w{i}")))
+    return runs.join(terms, same).groupBy(id_col, "term", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def resolve_label(labels: DataFrame, column: str, candidates: Sequence[str] = tuple(tx.MEDICATION_LABELS)) -> DataFrame:

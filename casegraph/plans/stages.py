@@ -4,7 +4,7 @@ until a result is written, except where a stage fits something (scaler, split, m
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,11 @@ class CaseTables:
     notes: DataFrame
 
 
+def written(tables: CaseTables) -> CaseTables:
+    """Tables as a stage boundary: each is written once and read by the stages after it."""
+    return CaseTables(**{f.name: materialize(getattr(tables, f.name), f.name) for f in fields(tables)})
+
+
 def load_tables(spark: SparkSession, layout: DataLayout, **options) -> CaseTables:
     def read(table: str) -> DataFrame:
         return scan_table(spark, layout, table, **options)
@@ -85,7 +90,7 @@ def clean_tables(
     unique = step("admissions", "deduplicate", tables.admissions, co.first_per_key(tables.admissions, ["hadm_id"]))
     timed = step("admissions", "interval", unique, co.valid_interval(unique, "admittime", "dischtime"))
     admissions = timed.withColumn("los_hours", hours_between(F.col("admittime"), F.col("dischtime")))
-    known = step("patients", "cohort", tables.patients, co.restrict_parents(tables.patients, tables.admissions, "subject_id"))
+    known = step("patients", "known", tables.patients, co.restrict_parents(tables.patients, tables.admissions, "subject_id"))
     patients = step("patients", "age", known, co.at_least(known, "anchor_age", min_age))
     if propagate_patient_filter:
         admissions = co.restrict_parents(admissions, patients, "subject_id")

@@ -66,8 +66,8 @@ def _(t: Tables):
 
 
 def _evaluated(t: Tables) -> stages.Evaluation:
-    tables = stages.CaseTables(
-        t.admissions, t.patients, t.diagnoses, t.procedures, t.labs, t.prescriptions, t.notes
+    tables = stages.written(
+        stages.CaseTables(t.admissions, t.patients, t.diagnoses, t.procedures, t.labs, t.prescriptions, t.notes)
     )
     entities = stages.extract_entities(tables, lambda notes: en.dictionary_mentions(notes, t.dictionary, max_term_words=2))
     return stages.train_and_evaluate(stages.build_training_graph(tables, entities))

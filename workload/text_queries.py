@@ -119,8 +119,9 @@ def _(t: Tables):
     "SELECT doc_id AS hadm_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 )
 def _(t: Tables):
-    notes = t.scan("documents", "doc_id", "n_chars").withColumnRenamed("doc_id", "hadm_id")
-    return en.pending_notes(notes, t.scan("labels", "doc_id").withColumnRenamed("doc_id", "hadm_id"))
+    notes = t.scan("documents", "doc_id", "text", "n_chars").withColumnRenamed("doc_id", "hadm_id")
+    done = t.scan("labels", "doc_id").withColumnRenamed("doc_id", "hadm_id")
+    return en.pending_notes(notes, done).select("hadm_id", "n_chars")
 
 
 def _load_tagger():
