@@ -84,7 +84,7 @@ def nearest_of_few(asked: DataFrame, stored: DataFrame, k: int) -> DataFrame:
     """Queries (id, v), at most a few thousand, are sent to every task that scans the corpus."""
     rows = asked.collect()
     query_ids = np.array([r["id"] for r in rows], dtype=np.int64)
-    queries = np.array([r["v"] for r in rows], dtype=float).reshape(len(rows), -1)
+    queries = np.array([r["v"] for r in rows], dtype=float)
     sent = stored.sparkSession.sparkContext.broadcast((query_ids, queries))
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, vectors = sent.value
