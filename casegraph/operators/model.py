@@ -29,7 +29,7 @@ class TrainedModel:
 
 
 def train(
-    training: DataFrame, validation: DataFrame, reg_params: Sequence[float] = (0.0, 1e-2), max_iter: int = 50
+    training: DataFrame, validation: DataFrame, reg_params: Sequence[float] = (0.0, 1e-2), max_iter: int = 40
 ) -> TrainedModel:
     """Weighted logistic regression on ``features``; the strength with the best validation AUC wins.
 

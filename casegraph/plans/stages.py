@@ -21,7 +21,7 @@ from casegraph.operators import model as mo
 from casegraph.operators import propagate as pr
 from casegraph.operators import ranking as rk
 from casegraph.operators.report import funnel
-from casegraph.session import materialize
+from casegraph.session import at_once, materialize
 from casegraph.sources.readers import scan_table
 from casegraph.sources.schemas import DataLayout
 
@@ -44,7 +44,9 @@ class CaseTables:
 
 def written(tables: CaseTables) -> CaseTables:
     """Tables as a stage boundary: each is written once and read by the stages after it."""
-    return CaseTables(**{f.name: materialize(getattr(tables, f.name), f.name) for f in fields(tables)})
+    names = [f.name for f in fields(tables)]
+    stored = at_once([lambda name=name: materialize(getattr(tables, name), name) for name in names])
+    return CaseTables(**dict(zip(names, stored)))
 
 
 def load_tables(spark: SparkSession, layout: DataLayout, **options) -> CaseTables:
@@ -147,30 +149,40 @@ class TrainingGraph:
 
 def build_training_graph(tables: CaseTables, entities: DataFrame, fit_on: str = "train") -> TrainingGraph:
     """``fit_on``: scale by the training rows only, or by ``all`` rows."""
-    raw = fe.admission_features(
-        tables.admissions, tables.patients, tables.diagnoses, tables.prescriptions, tables.procedures, tables.labs,
-        en.entity_counts(entities),
-    )
-    raw = materialize(raw.join(fe.labels(tables.admissions), "hadm_id"), "features")
-    parted = rk.split_exact(raw, "hadm_id", SEED)
-    scaler = fe.fit_scaler(parted.where("split = 'train'") if fit_on == "train" else parted, fe.FEATURES)
-    index = rk.dense_index(raw, "hadm_id")
-    patient_index = rk.dense_index(tables.patients, "subject_id")
-    rows = parted.select("hadm_id", "label", "split", F.array(*scaler.scaled()).alias("features")).join(index, "hadm_id")
-    patients = fe.patient_features(tables.patients).join(patient_index, "subject_id")
     facts = {
         "DIAGNOSED_WITH": (tables.diagnoses, "icd_code", "Diagnosis"),
         "PRESCRIBED": (tables.prescriptions, "drug", "Medication"),
         "HAS_PROCEDURE": (tables.procedures, "icd_code", "Procedure"),
         "HAS_LAB": (gr.lab_pairs(tables.labs), "itemid", "LabTest"),
     }
+    kept = {
+        name: gr.fact_edges(table, tables.admissions, item, multiplicity="row") for name, (table, item, _) in facts.items()
+    }
+
+    def examples() -> DataFrame:
+        raw = fe.admission_features(
+            tables.admissions, tables.patients, tables.diagnoses, tables.prescriptions, tables.procedures, tables.labs,
+            en.entity_counts(entities),
+        )
+        raw = materialize(raw.join(fe.labels(tables.admissions), "hadm_id"), "features")
+        parted = rk.split_exact(raw, "hadm_id", SEED)
+        scaler = fe.fit_scaler(parted.where("split = 'train'") if fit_on == "train" else parted, fe.FEATURES)
+        return parted.select("hadm_id", "label", "split", F.array(*scaler.scaled()).alias("features"))
+
+    jobs = [
+        examples,
+        lambda: fe.patient_features(tables.patients),
+        lambda: rk.dense_index(tables.admissions, "hadm_id"),
+        lambda: rk.dense_index(tables.patients, "subject_id"),
+        *[lambda name=name, item=item: rk.dense_index(kept[name], item) for name, (_, item, _) in facts.items()],
+    ]
+    rows, ages, index, patient_index, *indexes = at_once(jobs)
     vocabularies, edges = {}, {}
     edges["HAS_ADMISSION"] = gr.indexed_edges(tables.admissions, "subject_id", patient_index, "hadm_id", index)
-    for edge_type, (table, item, node_type) in facts.items():
-        kept = gr.fact_edges(table, tables.admissions, item, multiplicity="row")
-        vocabularies[node_type] = rk.dense_index(kept, item)
-        edges[edge_type] = gr.indexed_edges(kept, "hadm_id", index, item, vocabularies[node_type])
-    return TrainingGraph(rows, patients, vocabularies, edges)
+    for (edge_type, (_, item, node_type)), vocabulary in zip(facts.items(), indexes):
+        vocabularies[node_type] = vocabulary
+        edges[edge_type] = gr.indexed_edges(kept[edge_type], "hadm_id", index, item, vocabulary)
+    return TrainingGraph(rows.join(index, "hadm_id"), ages.join(patient_index, "subject_id"), vocabularies, edges)
 
 
 @dataclass(frozen=True)

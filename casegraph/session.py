@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +62,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows; reads no more than one row beyond the bound."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def at_once(jobs: Sequence[Callable[[], object]]) -> list:
+    """Results of a few independent jobs submitted together, so that short ones fill the gaps of long ones."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return list(pool.map(lambda job: job(), jobs))

@@ -12,6 +12,7 @@ from casegraph.operators import graph as gr
 from casegraph.operators import model as mo
 from casegraph.operators import ranking as rk
 from casegraph.plans import stages
+from casegraph.session import materialize
 from workload.registry import q, q_sql, query
 from workload.tables import Tables, with_ctes
 
@@ -247,7 +248,7 @@ STANDARDIZED_SQL = "SELECT hadm_id, " + ", ".join(
 
 
 def standardized(t: Tables):
-    table = features(t)
+    table = materialize(features(t), "features")
     return fe.fit_scaler(table, fe.FEATURES).transform(table)
 
 

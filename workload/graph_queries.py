@@ -11,14 +11,16 @@ from casegraph.operators import features as fe
 from casegraph.operators import graph as gr
 from casegraph.operators import propagate as pr
 from casegraph.operators import ranking as rk
+from casegraph.session import materialize
 from workload.cohort_queries import STANDARDIZED_SQL, standardized
 from workload.registry import joined, q, q_sql, query
 from workload.tables import Tables, with_ctes
 
 
 def graph(t: Tables) -> gr.CaseGraph:
+    admissions = materialize(t.admissions, "admissions")
     return gr.build_graph(
-        t.admissions, t.patients, t.diagnoses, t.procedures, t.prescriptions, t.labs, t.entities
+        admissions, t.patients, t.diagnoses, t.procedures, t.prescriptions, t.labs, t.entities
     )
 
 
