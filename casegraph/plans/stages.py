@@ -1,5 +1,6 @@
-"""From raw tables to explained cases. Stages take and return DataFrames; nothing runs
-until a result is written, except where a stage fits something (scaler, split, model)."""
+"""From raw tables to explained cases. Stages take and return DataFrames. Most of a stage runs
+when its result is written; what several of its steps need is written to the shared folder
+first, and fitting (scaler, split, model) runs at once."""
 
 from __future__ import annotations
 
@@ -61,7 +62,8 @@ def load_tables(spark: SparkSession, layout: DataLayout, **options) -> CaseTable
 
 def extract_cohort(raw: CaseTables) -> tuple[CaseTables, DataFrame]:
     """Restrict every table to admissions that have a note. Returns the tables and a funnel report."""
-    ids = co.cohort_ids(raw.notes.select("hadm_id"), "hadm_id")
+    # Written once: six scans of the notes would follow otherwise, and a notes file may not be splittable.
+    ids = materialize(co.cohort_ids(raw.notes.select("hadm_id"), "hadm_id"), "cohort")
     admissions = co.restrict(raw.admissions, ids, "hadm_id")
     kept = replace(
         raw,
@@ -96,6 +98,8 @@ def clean_tables(
     patients = step("patients", "age", known, co.at_least(known, "anchor_age", min_age))
     if propagate_patient_filter:
         admissions = co.restrict_parents(admissions, patients, "subject_id")
+    # Written once: every child table is restricted to them.
+    admissions = materialize(admissions, "admissions")
 
     ids = admissions.select("hadm_id")
 

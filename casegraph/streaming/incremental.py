@@ -3,7 +3,8 @@
 The stream reads new note files, extracts mentions, and stores one folder per batch.
 A batch that is replayed after a failure overwrites its own folder, and the view over all
 batches is a set union, so every note counts once whatever is repeated. Stored batches are
-never rewritten: the cost of a batch does not grow with what is already stored.
+never rewritten; a batch reads the hashes of earlier notes, but neither their text nor their
+entities.
 """
 
 from __future__ import annotations
