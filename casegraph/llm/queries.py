@@ -63,3 +63,10 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ruled = materialize(qr.with_rules(table(spark, sf_dir, "documents"), keep=["doc_id", "source"]), "quality-rules")
     joined = qr.join_verdicts(ruled, qr.host_verdicts(ruled, "source"), "source")
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op1_simhash")
+def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
