@@ -156,7 +156,6 @@ def _prefix(depth: int):
 
 def _frontier(distinct: DataFrame, budget: int, node_size: int) -> tuple[DataFrame, DataFrame, list[int]]:
     """Nodes of bounded size that cover the trie, the pairs of them within the budget, and their depths."""
-    spark = distinct.sparkSession
     nodes = distinct.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"), "n"
     )
@@ -167,25 +166,25 @@ def _frontier(distinct: DataFrame, budget: int, node_size: int) -> tuple[DataFra
         split = nodes.where(F.col("n") > node_size).select(F.col("depth").alias("d0"), F.col("prefix").alias("p0"))
         below = distinct.select(_prefix(depth).alias("p0"), _prefix(depth + STEP).alias("prefix"))
         children = below.groupBy("p0", "prefix").agg(F.count(F.lit(1)).alias("n"))
-        children = children.join(split, "p0").select("d0", "p0", F.lit(depth + STEP).alias("depth"), "prefix", "n")
+        # the root is split whenever anything is, so the first step needs no join to find the parents
+        parents = children.withColumn("d0", F.lit(0)) if depth == 0 else children.join(split, "p0")
+        children = parents.select("d0", "p0", F.lit(depth + STEP).alias("depth"), "prefix", "n")
         whole = nodes.where(F.col("n") <= node_size).selectExpr("depth AS d0", "prefix AS p0", "depth", "prefix", "n")
         moves = materialize(whole.unionByName(children), "trie-moves")
         left = moves.selectExpr("d0 AS da", "p0 AS a", "depth AS da2", "prefix AS a2")
         right = moves.selectExpr("d0 AS db", "p0 AS b", "depth AS db2", "prefix AS b2")
         met = pairs.join(left, ["da", "a"]).join(right, ["db", "b"])
-        common = F.least("da2", "db2")
         bits = F.bit_count(
             F.expr("shiftrightunsigned(a2, da2 - least(da2, db2))").bitwiseXOR(
                 F.expr("shiftrightunsigned(b2, db2 - least(da2, db2))")
             )
         )
         once = (F.col("da") != F.col("db")) | (F.col("a") != F.col("b")) | (F.col("a2") <= F.col("b2"))
-        met = met.where((bits <= budget) & once & (common >= 0))
+        met = met.where((bits <= budget) & once)
         pairs = materialize(met.selectExpr("da2 AS da", "a2 AS a", "db2 AS db", "b2 AS b"), "trie-pairs")
         nodes = moves.select("depth", "prefix", "n")
         depth += STEP
     depths = sorted(r["depth"] for r in nodes.select("depth").distinct().collect())  # at most one per level
-    del spark
     return nodes, pairs, depths
 
 
