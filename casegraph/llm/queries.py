@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +71,12 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casegraph.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_packing")
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm.packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"))
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
