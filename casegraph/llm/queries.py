@@ -80,3 +80,13 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"))
     digest = F.crc32("ids").alias("ids_crc32")
     return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
+
+
+@query("op8_token_files")
+def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm import token_files as tf
+
+    docs = table(spark, sf_dir, "documents")
+    folder = tf.new_folder(docs)
+    read = tf.read_files(tf.write_files(docs, folder), folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

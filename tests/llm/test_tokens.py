@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
+from casegraph.llm import token_files as tf
 from casegraph.llm.packing import Piece, assign, pack
 from casegraph.llm.queries import QUERIES
 from casegraph.llm.tokens import Encoder, default_path
@@ -85,3 +86,30 @@ def test_costs_are_balanced():
             open_.append([n])
     first_fit = [sum(n**2 for n in s) for s in open_]
     assert np.std(squares) < np.std(first_fit)
+
+
+def expected_files(docs):
+    start, out = 0, {}
+    for doc, ids in sorted(zip(docs, plain(docs.values()))):
+        out[doc] = (start, len(ids) + 1, crc(ids + [0]))
+        start += len(ids) + 1
+    return out
+
+
+def test_files_query(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op8_token_files"](spark, SF).collect()
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows} == expected_files(docs)
+
+
+def test_files_odd_rows(spark):
+    rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(None, "no id", "y"), (3, "again", "z"), (50, "long text " * 20_000, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, base string").repartition(4)
+    folder = tf.new_folder(frame)
+    got = tf.read_files(tf.write_files(frame, folder), folder).orderBy("start").collect()
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    assert [r.doc_id for r in got] == [r[0] for r in ordered]
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [i + [0] for i in plain([r[1] for r in ordered])]
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+    folder = tf.new_folder(frame)
+    assert tf.read_files(tf.write_files(frame.limit(0), folder), folder).count() == 0
