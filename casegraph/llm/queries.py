@@ -90,3 +90,19 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = tf.new_folder(docs)
     read = tf.read_files(tf.write_files(docs, folder), folder)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_decontamination")
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm.decontaminate import mark_contamination
+
+    marked = mark_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
