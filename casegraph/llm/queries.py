@@ -106,3 +106,12 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op5_language_model")
+def language_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm import language_model as lm
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", ~lm.training())
+    model = lm.train(docs.where(lm.training()))
+    return lm.score(docs, model).drop("text", "perplexity")
