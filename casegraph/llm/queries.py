@@ -115,3 +115,12 @@ def language_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", ~lm.training())
     model = lm.train(docs.where(lm.training()))
     return lm.score(docs, model).drop("text", "perplexity")
+
+
+@query("op6_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm import toxicity as tx
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", tx.held_out())
+    classifier = tx.fit(docs, table(spark, sf_dir, "labels"), ~tx.held_out())
+    return tx.score(docs, classifier, keep=["doc_id", "held_out"])
