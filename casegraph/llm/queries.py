@@ -124,3 +124,12 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", tx.held_out())
     classifier = tx.fit(docs, table(spark, sf_dir, "labels"), ~tx.held_out())
     return tx.score(docs, classifier, keep=["doc_id", "held_out"])
+
+
+@query("op10_quality_classifier")
+def quality_classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm import quality_classifier as qc
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", qc.held_out())
+    machine = qc.fit(docs, table(spark, sf_dir, "labels"), ~qc.held_out())
+    return qc.score(docs, machine, keep=["doc_id", "held_out"])
