@@ -57,6 +57,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(".,", self._encode([".", ","])))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -64,6 +65,8 @@ class Encoder:
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, from one text made of all of them: the lengths of the tokens tell where a part ends."""
+        if not parts:
+            return []
         joined = "".join([x if x[0] == "\n" else " " + x for x in parts])
         ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.cumsum([len(x.encode()) + (x[0] != "\n") for x in parts])
@@ -71,40 +74,48 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
 
+    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
+        """Ids of parts that are not known; some are remembered."""
+        odd = [x for x in wanted if x[-1].isspace()]
+        wanted = wanted.difference(odd)
+        # a mark behind a letter is a token apart, so the word may be known without it
+        marked = [x for x in wanted if x[-1] in ".," and x[-2:-1].isalpha()]
+        stems = {x[:-1] for x in marked}
+        known = self.known.get
+        plain = [x for x in wanted.difference(marked) | stems if known(x) is None]
+        new = dict(zip(plain, self._encode_parts(plain)))
+        for x in marked:
+            new[x] = (known(x[:-1]) or new[x[:-1]]) + self.marks[x[-1]]
+        new.update(zip(odd, self._encode([" " + x for x in odd])))
+        room = self.max_remembered - len(self.known)
+        self.known.update(new if len(new) <= room else dict(list(new.items())[: max(0, room)]))
+        return new
+
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; null is the empty text."""
         texts = [t or "" for t in texts]
         if not self.by_parts:
             return self._encode(texts)
-        # A part is known by its own text; it stands for the part with a space before it, unless it starts with a line feed.
-        parts, first = [], []
-        for text in texts:
+        # A part is known by its own text, which stands for the part with a space before it, or by a line feed and its text.
+        # A text is read like a line, without the first id, that of the line feed (four bytes).
+        parts: list[str] = []
+        ends: list[int] = []
+        heads: dict[int, str] = {}
+        for i, text in enumerate(texts):
             if _SPACES.search(text) or text[:1].isspace() or text[-1:].isspace():
-                cut = _CUT.split(text)
-                # parts with inner white space are encoded like any other; only a leading line feed has a meaning of its own
-                parts.append(cut[1:])
-            else:
-                cut = text.replace("\n", " \n").split(" ")
-                parts.append(cut[1:])
-            first.append(cut[0])
-        look = self.known.get
-        found = [list(map(look, rest)) for rest in parts]
-        gaps = [i for i, ids in enumerate(found) if None in ids]
-        new = list({part for i in gaps for part, ids in zip(parts[i], found[i]) if ids is None})
-        if new:
-            plain = [x for x in new if not x[-1].isspace()]
-            odd = [x for x in new if x[-1].isspace()]
-            if plain:
-                self.known.update(zip(plain, self._encode_parts(plain)))
-            self.known.update(zip(odd, self._encode([" " + x for x in odd])))
-            for i in gaps:
-                found[i] = map(look, parts[i])
-        out = [head + b"".join(ids) for head, ids in zip(self._encode(first), found)]
-        surplus = len(self.known) - self.max_remembered
-        if surplus > 0:
-            for x in new[-surplus:]:
-                del self.known[x]
-        return out
+                heads[i], *rest = _CUT.split(text)
+                parts += rest
+            elif text:
+                parts += ("\n" + text.replace("\n", " \n")).split(" ")
+            ends.append(len(parts))
+        found = list(map(self.known.get, parts))
+        gaps = [k for k, ids in enumerate(found) if ids is None]
+        new = self._learn({parts[k] for k in gaps})
+        for k in gaps:
+            found[k] = new[parts[k]]
+        out = [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+        begun = dict(zip(heads, self._encode(list(heads.values()))))
+        return [begun[i] + ids if i in begun else ids[4:] for i, ids in enumerate(out)]
 
 
 @lru_cache(maxsize=2)
