@@ -133,3 +133,11 @@ def quality_classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", qc.held_out())
     machine = qc.fit(docs, table(spark, sf_dir, "labels"), ~qc.held_out())
     return qc.score(docs, machine, keep=["doc_id", "held_out"])
+
+
+@query("op9_line_dedup")
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm.line_dedup import dedup_lines
+
+    cleaned = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
