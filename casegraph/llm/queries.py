@@ -141,3 +141,10 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cleaned = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+@query("op3_html_text")
+def html_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
