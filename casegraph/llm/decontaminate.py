@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from casegraph.llm.columns import set_aside
 from casegraph.llm.fm_index import FMIndex
 from casegraph.llm.words import LETTERS_DIGITS, LOWER, Slice, Words, find_words, hash_runs, slices
 
@@ -255,7 +256,8 @@ def _apply(docs: DataFrame, phrases: Phrases, ids: list, text: str, state: Struc
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without the hit stretches of their texts; all rows and columns stay."""
-    marked = mark_contamination(docs, benchmark, text, **options)
+    aside, restore = set_aside(docs, [f.name for f in StructType.fromDDL(_STATE)] + ["items", "spans"])
+    marked = mark_contamination(aside, benchmark, text, **options)
     bytes_ = F.encode(text, "UTF-8")
     # what lies before each stretch, and the rest behind the last
     begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
@@ -265,4 +267,4 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
         lambda p: F.decode(F.substring(bytes_, (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")), "UTF-8"),
     )
     cut = F.when(F.size("spans") > 0, F.array_join(pieces, "")).otherwise(F.col(text))
-    return marked.withColumn(text, cut).select(*docs.columns)
+    return restore(marked.withColumn(text, cut))

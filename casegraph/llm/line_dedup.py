@@ -25,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casegraph.llm.columns import set_aside
 from casegraph.session import fits, materialize
 
 
@@ -176,13 +177,21 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", setti
     return judged.where(F.col("late").isNotNull() | (place != F.col("first"))).select("doc", "version", "line")
 
 
+def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """``docs`` with texts without the removed lines; all rows and columns stay."""
+    aside, restore = set_aside(docs, ["n_lines", "n_removed"])
+    return restore(dedup_lines(aside, id, text, settings))
+
+
 def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``docs`` with texts without the removed lines, and ``n_lines`` and ``n_removed`` of each."""
     removed = removed_lines(docs.select(id, text), id, text, settings)
-    removed = removed.distinct().groupBy("doc", "version").agg(F.collect_list("line").alias("_gone"))
+    removed = removed.distinct().groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_of")).agg(
+        F.collect_list("line").alias("_gone")
+    )
     keyed = docs.withColumn("_version", F.xxhash64(text))
-    same = keyed[id].eqNullSafe(removed["doc"]) & (keyed["_version"] == removed["version"])
-    joined = keyed.join(removed, same, "left").drop("doc", "version", "_version")
+    same = keyed[id].eqNullSafe(removed["_doc"]) & (keyed["_version"] == removed["_of"])
+    joined = keyed.join(removed, same, "left").drop("_doc", "_of", "_version")
     lines = F.split(text, "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_gone")
     joined = joined.withColumn("_kept", F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))

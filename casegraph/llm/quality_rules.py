@@ -18,7 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from casegraph.llm.columns import set_aside
 from casegraph.llm.words import NON_SPACE, append_columns, chain, find_words, hash_runs, slices
 from casegraph.session import fits
 
@@ -126,5 +128,7 @@ def join_verdicts(ruled: DataFrame, verdicts: DataFrame, host: str, max_broadcas
 def keep_documents(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, with their own columns."""
     verdicts = host_verdicts(with_rules(docs, limits, keep=[host]), host, limits)
+    made = [f.name for f in StructType.fromDDL(COUNTS)] + ["base_failed", "doc_failed", "failed", "kept"]
+    aside, restore = set_aside(docs, made)
     # the text's rules are computed again rather than shuffled or stored with the texts
-    return join_verdicts(with_rules(docs, limits), verdicts, host).where("kept").select(*docs.columns)
+    return restore(join_verdicts(with_rules(aside, limits), verdicts, host).where("kept"))
