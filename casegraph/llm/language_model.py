@@ -35,8 +35,9 @@ from casegraph.llm.words import LOWER, NON_SPACE, Slice, find_words, hash_runs,
 from casegraph.session import materialize, shared_folder
 
 END = np.uint64(0x5E4D)  # stands for the end of a text among word hashes
-BLOCK_TOKENS = 1 << 20
-SHARD_BYTES = 64 << 20  # text per range
+BLOCK_TOKENS = 1 << 20  # counted at once
+SCORE_TOKENS = 1 << 19  # scored at once
+SHARD_BYTES = 16 << 20  # text per range
 _U32 = np.uint64(32)
 
 
@@ -387,7 +388,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
 
             for piece in slices(batch.column(batch.schema.get_field_index(text))):
                 waiting.append((piece, *tokens_of(piece)))
-                if sum(len(w[1]) for w in waiting) >= BLOCK_TOKENS:
+                if sum(len(w[1]) for w in waiting) >= SCORE_TOKENS:
                     flush()
             if waiting:
                 flush()
