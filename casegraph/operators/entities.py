@@ -29,36 +29,33 @@ def pending_notes(notes: DataFrame, done: DataFrame, id_col: str = "hadm_id", te
 
 
 def dictionary_mentions(
-    notes: DataFrame, dictionary: DataFrame, id_col: str = "hadm_id", text_col: str = "text", max_term_words: int = 3
+    notes: DataFrame, dictionary: DataFrame, id_col: str = "hadm_id", text_col: str = "text"
 ) -> DataFrame:
     """Occurrences of the ``(term, kind)`` rows of ``dictionary`` in the whole text of each note.
 
-    Result: id, term, kind and ``n`` occurrences. A term is a run of up to
-    ``max_term_words`` tokens. Each token is looked up as the first word of a term, and the
-    words after it decide; this happens in the stage that produces the tokens, and only
-    matches, already counted per task, are shuffled.
+    Result: id, term, kind and ``n`` occurrences. A term is a run of tokens of any length. At each
+    token the runs of all lengths that the dictionary has are looked up as whole terms, in the
+    stage that produces the tokens; only matches, already counted per task, are shuffled.
     """
-    places = range(1, max_term_words + 1)
     words = tx.tokens(F.col("term"))
-    terms = (
-        dictionary.where((F.size(words) > 0) & (F.size(words) <= max_term_words))
-        .select(words.alias("_words"), "kind").distinct()
-        .select(
-            F.array_join("_words", " ").alias("term"), "kind",
-            *[F.get("_words", F.lit(i - 1)).alias(f"t{i}") for i in places],
-        )
-    )
+    terms = dictionary.select(F.array_join(words, " ").alias("term"), F.size(words).alias("_size"), "kind")
+    terms = terms.where(F.col("_size") > 0).distinct()
+    lengths = sorted(r["_size"] for r in terms.select("_size").distinct().collect())
+    if not lengths:
+        return notes.join(terms, F.lit(False)).groupBy(id_col, "term", "kind").agg(F.count(F.lit(1)).alias("n"))
+    terms = terms.drop("_size")
     if fits(terms, MAX_BROADCAST_TERMS):
         terms = F.broadcast(terms)
     # A plain explode or inline would make the optimizer test the size of the list below the
     # tokenisation, which repeats it; the null row of the outer form finds no partner in the join.
+    places = [f"w{i}" for i in range(1, lengths[-1] + 1)]
     runs = notes.select(id_col, tx.tokens(F.col(text_col)).alias("_tokens")).select(
-        id_col, F.inline_outer(tx.token_runs(F.col("_tokens"), max_term_words)).alias(*[f"w{i}" for i in places])
+        id_col, F.inline_outer(tx.token_runs(F.col("_tokens"), lengths[-1])).alias(*places)
     )
-    same = F.col("w1") == F.col("t1")
-    for i in places[1:]:
-        same = same & (F.col(f"t{i}").isNull() | (F.col(f"t{i}") == F.col(f"w{i}")))
-    return runs.join(terms, same).groupBy(id_col, "term", "kind").agg(F.count(F.lit(1)).alias("n"))
+    # a run past the end of the text has a null and is no term
+    whole = [F.concat(*[x for p in places[:n] for x in (F.lit(" "), F.col(p))][1:]) for n in lengths]
+    runs = runs.select(id_col, F.explode(F.array(*whole)).alias("term"))
+    return runs.join(terms, "term").groupBy(id_col, "term", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def resolve_label(labels: DataFrame, column: str, candidates: Sequence[str] = tuple(tx.MEDICATION_LABELS)) -> DataFrame:
@@ -104,7 +101,8 @@ def model_mentions(
     models with a limited input length; by default they get the whole text.
     """
     text = tx.first_words(F.col(text_col), window_words) if window_words else F.col(text_col)
-    prepared = notes.select(F.col(id_col).alias("id"), text.alias("text")).where(~tx.is_blank(F.col("text")))
+    # a blank note has no mentions; the model does not get to see it
+    prepared = notes.select(F.col(id_col).alias("id"), F.when(~tx.is_blank(text), text).alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -118,6 +116,11 @@ def model_mentions(
                 return [], f"{type(exc).__name__}: {exc}"
 
         for frame in batches:
+            blank = frame[frame["text"].isna()]
+            if len(blank):
+                nothing = [[] for _ in range(len(blank))]
+                yield pd.DataFrame({"id": blank["id"].to_numpy(), "mentions": nothing, "error": pd.Series([None] * len(blank), dtype="object")})
+            frame = frame[frame["text"].notna()]
             for start in range(0, len(frame), batch_size):
                 part = frame.iloc[start : start + batch_size]
                 texts = part["text"].tolist()

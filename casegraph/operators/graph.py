@@ -161,10 +161,10 @@ def long_edges(edges: dict[str, DataFrame]) -> DataFrame:
 
 def undirected(edges: DataFrame) -> DataFrame:
     """Adds every edge in reverse, its type prefixed by ``rev_``."""
-    reverse = edges.select(
-        F.concat(F.lit("rev_"), "edge_type").alias("edge_type"), F.col("dst").alias("src"), F.col("src").alias("dst")
-    )
-    return edges.unionByName(reverse)
+    reverse_type = F.concat(F.lit("rev_"), "edge_type")
+    forward = F.struct(F.col("edge_type").alias("edge_type"), F.col("src").alias("src"), F.col("dst").alias("dst"))
+    reverse = F.struct(reverse_type.alias("edge_type"), F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return edges.select(F.inline(F.array(forward, reverse)))
 
 
 def indexed_edges(edges: DataFrame, src: str, src_index: DataFrame, dst: str, dst_index: DataFrame) -> DataFrame:

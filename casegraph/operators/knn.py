@@ -13,9 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casegraph.functions.vectors import of_length
 from casegraph.session import fits
 
 MAX_SENT_QUERIES = 4096
@@ -65,16 +66,39 @@ def _merge(partial: DataFrame, k: int) -> DataFrame:
     return partial.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def _prepared(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+def _usable(vector: Column) -> Column:
+    infinite = float("inf")
+    finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < infinite), F.lit(False)))
+    return F.coalesce(finite, F.lit(False))
+
+
+def unusable_vectors(df: DataFrame, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
+    """Ids whose vector is null or has an element that is null, NaN or infinite: no distance to them exists."""
+    return df.where(~_usable(F.col(vector_col).cast("array<double>"))).select(id_col)
+
+
+def _prepared(df: DataFrame, id_col: str, vector_col: str, dim: int | None = None) -> DataFrame:
+    """Rows with a usable vector; one of another length than ``dim``, that of the first row if it is not given, is an error."""
+    dim = _length(df, vector_col) if dim is None else dim
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    return rows.where(_usable(F.col("v"))).withColumn("v", of_length(F.col("v"), dim))
+
+
+def _length(df: DataFrame, vector_col: str) -> int:
+    first = df.where(F.col(vector_col).isNotNull()).select(F.size(vector_col).alias("n")).first()
+    return first["n"] if first else 0
 
 
 def nearest(
     queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str = "id", vector_col: str = "embedding",
     max_sent_queries: int = MAX_SENT_QUERIES,
 ) -> DataFrame:
-    """(query_id, neighbor_id, distance, rank): the k nearest other cases of each query, ties by id."""
-    asked, stored = _prepared(queries, id_col, vector_col), _prepared(corpus, id_col, vector_col)
+    """(query_id, neighbor_id, distance, rank): the k nearest other cases of each query, ties by id.
+
+    Rows that ``unusable_vectors`` reports are set aside on either side; all vectors must have one length.
+    """
+    dim = _length(corpus, vector_col) or _length(queries, vector_col)
+    asked, stored = (_prepared(df, id_col, vector_col, dim) for df in (queries, corpus))
     if fits(asked, max_sent_queries):
         return nearest_of_few(asked, stored, k)
     return nearest_in_grid(asked, stored, k)
@@ -148,8 +172,10 @@ def lookup(requested: DataFrame, known: DataFrame, id_col: str = "hadm_id") -> D
 
 
 def neighbour_outcome(neighbours: DataFrame, outcomes: DataFrame, id_col: str = "hadm_id", flag: str = "died") -> DataFrame:
-    """Per query the number of neighbours and the share that died."""
+    """Per query the number of neighbours, of those with a known outcome, and the share of the latter that died."""
     known = outcomes.select(F.col(id_col).alias("neighbor_id"), F.col(flag).alias("_flag"))
-    return neighbours.join(known, "neighbor_id").groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("n_neighbors"), F.avg(F.col("_flag").cast("double")).alias("death_rate")
+    return neighbours.join(known, "neighbor_id", "left").groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("n_neighbors"),
+        F.count("_flag").alias("n_known"),
+        F.avg(F.col("_flag").cast("double")).alias("death_rate"),
     )

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from casegraph.functions.scalars import softmax2
 from casegraph.operators.metrics import auc
 
 # Loss weights of the classes survived and died.
@@ -21,15 +22,24 @@ def with_class_weights(df: DataFrame, label: str = "label", weights: tuple[float
     return df.withColumn("weight", F.when(F.col(label) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])))
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """Plain numbers: a fitted Spark model carries its training summary, and with it the session."""
+
+    coefficients: tuple[float, ...]
+    intercept: float
+
+
 @dataclass
 class TrainedModel:
-    model: LogisticRegressionModel
+    model: LinearModel
     reg_param: float
     validation_auc: float | None
 
 
 def train(
-    training: DataFrame, validation: DataFrame, reg_params: Sequence[float] = (0.0, 1e-2), max_iter: int = 40
+    training: DataFrame, validation: DataFrame, reg_params: Sequence[float] = (0.0, 1e-2), max_iter: int = 40,
+    tol: float = 1e-6,
 ) -> TrainedModel:
     """Weighted logistic regression on ``features``; the strength with the best validation AUC wins.
 
@@ -44,9 +54,11 @@ def train(
     try:
         for reg in reg_params:
             estimator = LogisticRegression(
-                featuresCol="vector", labelCol="label", weightCol="weight", regParam=reg, maxIter=max_iter
+                featuresCol="vector", labelCol="label", weightCol="weight", regParam=reg, maxIter=max_iter,
+                tol=tol,
             )
-            fitted = estimator.fit(rows)
+            found = estimator.fit(rows)
+            fitted = LinearModel(tuple(map(float, found.coefficients)), float(found.intercept))
             value = auc(score(fitted, held_out)).first()["auc"]
             if best is None or (value or 0.0) > (best.validation_auc or 0.0):
                 best = TrainedModel(fitted, reg, value)
@@ -56,14 +68,12 @@ def train(
     return best
 
 
-def score(model: LogisticRegressionModel, df: DataFrame) -> DataFrame:
-    """Adds ``prob`` and ``pred``."""
-    if "vector" not in df.columns:
-        df = df.withColumn("vector", array_to_vector("features"))
-    scored = model.transform(df).withColumn("prob", F.get(vector_to_array("probability"), F.lit(1)))
-    return scored.withColumn("pred", (F.col("prob") >= 0.5).cast("int")).drop(
-        "vector", "rawPrediction", "probability", "prediction"
-    )
+def score(model: LinearModel, df: DataFrame) -> DataFrame:
+    """Adds ``prob`` and ``pred``: the softmax of zero and the weighted sum of ``features``, as one expression."""
+    weights = F.array(*(F.lit(float(w)) for w in model.coefficients))
+    products = F.zip_with("features", weights, lambda x, w: x * w)
+    total = F.aggregate(products, F.lit(float(model.intercept)), lambda total, x: total + x)
+    return df.withColumn("prob", softmax2(F.lit(0.0), total)).withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
 
 
 def cached_predictions(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 def funnel(steps: Sequence[tuple[str, str, DataFrame, DataFrame]]) -> DataFrame:
     """(table, step, before, after, dropped) for (table, step, rows before, rows after) entries."""
-    parts = []
+    # The rows after a step are those before the next: every table is counted once.
+    tables: dict[int, tuple[DataFrame, list]] = {}
     for table, step, before, after in steps:
         for side, rows in (("before", before), ("after", after)):
-            parts.append(
-                rows.agg(F.count(F.lit(1)).alias("n")).select(
-                    F.lit(table).alias("table"), F.lit(step).alias("step"), F.lit(side).alias("side"), "n"
-                )
-            )
+            use = F.struct(F.lit(table).alias("table"), F.lit(step).alias("step"), F.lit(side).alias("side"))
+            tables.setdefault(id(rows), (rows, []))[1].append(use)
+    parts = [rows.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(*uses)), "n") for rows, uses in tables.values()]
     counts = parts[0]
     for part in parts[1:]:
         counts = counts.unionByName(part)

@@ -113,8 +113,9 @@ def clean_tables(
     labs = step("labs", "deduplicate", values, co.first_per_key(values, ["hadm_id", "itemid", "charttime"]))
     labs = step("labs", "admission", labs, co.restrict(labs, ids, "hadm_id"))
     named = step("prescriptions", "missing", tables.prescriptions, co.drop_missing(tables.prescriptions, ["drug"]))
-    drugs = step("prescriptions", "deduplicate", named, co.first_per_key(named, ["hadm_id", "drug", "starttime"]))
-    drugs = step("prescriptions", "admission", drugs, co.restrict(drugs, ids, "hadm_id"))
+    # the key has the admission, so rows of other admissions can go first and need no shuffle
+    drugs = step("prescriptions", "admission", named, co.restrict(named, ids, "hadm_id"))
+    drugs = step("prescriptions", "deduplicate", drugs, co.first_per_key(drugs, ["hadm_id", "drug", "starttime"]))
     cleaned = replace(
         tables, admissions=admissions, patients=patients, diagnoses=diagnoses, procedures=procedures, labs=labs,
         prescriptions=drugs,
@@ -200,8 +201,11 @@ def train_and_evaluate(graph: TrainingGraph, with_neighbourhood: bool = True) ->
     """Weighted classifier on own and neighbourhood features, chosen by validation AUC, tested once."""
     rows = graph.admissions
     if with_neighbourhood:
+        # Written once: the hop to the items and the hop back both read them.
         pairs = {
-            name: table.select(F.col("src_idx").alias("case"), F.col("dst_idx").alias("item")).distinct()
+            name: materialize(
+                table.select(F.col("src_idx").alias("case"), F.col("dst_idx").alias("item")).distinct(), f"pairs-{name.lower()}"
+            )
             for name, table in graph.edges.items()
             if name != "HAS_ADMISSION"
         }

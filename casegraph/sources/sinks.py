@@ -25,14 +25,20 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_case_results(results: DataFrame, path: str, id_col: str = "hadm_id", buckets: int = 64) -> None:
-    """Result documents of many cases, one folder per id bucket so that one case is found without a full scan."""
+def write_case_results(
+    results: DataFrame, path: str, id_col: str = "hadm_id", buckets: int = 64, files_per_bucket: int = 4
+) -> None:
+    """Result documents of many cases, one folder per id bucket so that one case is found without a full scan.
+
+    A bucket has at most ``files_per_bucket`` files; raise ``buckets`` with the number of cases.
+    """
     bucketed = results.withColumn("bucket", F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int"))
-    bucketed.repartition("bucket", id_col).write.mode("overwrite").partitionBy("bucket").json(path)
+    part = F.pmod(F.hash(id_col), F.lit(files_per_bucket))
+    bucketed.repartition("bucket", part).write.mode("overwrite").partitionBy("bucket").json(path)
 
 
 def read_case_result(spark, path: str, case_id: int, id_col: str = "hadm_id", buckets: int = 64) -> DataFrame:
-    """Results of one case; only its bucket is read."""
-    stored = spark.read.json(path)
+    """Results of one case; only its bucket is read, also to find the schema."""
     bucket = F.pmod(F.xxhash64(F.lit(case_id).cast("bigint")), F.lit(buckets)).cast("int")
-    return stored.where((F.col("bucket") == bucket) & (F.col(id_col) == case_id)).drop("bucket")
+    number = spark.range(1).select(bucket.alias("bucket")).first()["bucket"]
+    return spark.read.json(f"{path}/bucket={number}").where(F.col(id_col) == case_id)

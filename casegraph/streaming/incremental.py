@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from casegraph.operators.entities import LIST_OF_KIND, entity_sets, union_entity_sets
+from casegraph.operators.entities import LIST_OF_KIND, complete_entity_sets, entity_sets, union_entity_sets
 
 NOTE_SCHEMA = T.StructType([T.StructField("hadm_id", T.LongType()), T.StructField("text", T.StringType())])
 
@@ -47,16 +47,20 @@ def start_extraction(
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         keyed = batch.withColumn("note_hash", note_hash()).dropDuplicates(["note_hash"])
+        keyed = keyed.withColumn("bucket", F.substring("note_hash", 1, 2))
         earlier = read_done(session, store_dir)
         if earlier is not None:
             # Only batches before this one: its own leftovers from a failed try do not count.
-            seen = earlier.where(F.col("batch") < batch_id).select("note_hash")
+            # The history is stored by the first digits of the hash; only the digits that this batch has are read.
+            buckets = [r["bucket"] for r in keyed.select("bucket").distinct().collect()]  # 256 at most
+            seen = earlier.where((F.col("batch") < batch_id) & F.col("bucket").isin(buckets)).select("note_hash")
             keyed = keyed.join(seen, "note_hash", "left_anti")
         keyed = keyed.persist()
         try:
-            sets = entity_sets(extract(keyed.select("hadm_id", "text")))
+            sets = complete_entity_sets(entity_sets(extract(keyed.select("hadm_id", "text"))), keyed)
             sets.write.mode("overwrite").parquet(f"{store_dir}/entities/batch={batch_id}")
-            keyed.select("hadm_id", "note_hash").write.mode("overwrite").parquet(f"{store_dir}/done/batch={batch_id}")
+            done = keyed.select("hadm_id", "note_hash", "bucket").write.mode("overwrite").partitionBy("bucket")
+            done.parquet(f"{store_dir}/done/batch={batch_id}")
         finally:
             keyed.unpersist()
 
@@ -78,7 +82,7 @@ def read_done(spark: SparkSession, store_dir: str) -> DataFrame | None:
     path = f"{store_dir}/done"
     if not _exists(spark, path):
         return None
-    return spark.read.schema("hadm_id bigint, note_hash string, batch bigint").parquet(path)
+    return spark.read.schema("hadm_id bigint, note_hash string, batch bigint, bucket string").parquet(path)
 
 
 def read_entities(spark: SparkSession, store_dir: str) -> DataFrame:

@@ -111,3 +111,42 @@ def test_lookup_reports_unknown_ids(spark):
     asked = spark.createDataFrame([(1,), (4,)], "hadm_id bigint")
     known = spark.createDataFrame([(1,), (2,)], "hadm_id bigint")
     assert {r["hadm_id"]: r["found"] for r in knn.lookup(asked, known).collect()} == {1: True, 4: False}
+
+
+def test_training_after_an_observation(spark):
+    from casegraph.operators.report import observed
+
+    counted, observation = observed(spark.range(10), "rows")
+    counted.count()
+    assert observation.get["rows"] == 10
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x)], int(x > 0)) for i, x in enumerate(rng.normal(size=200))]
+    df = spark.createDataFrame(rows, "hadm_id bigint, features array<double>, label int")
+    trained = mo.train(df, df)
+    predictions = mo.score(trained.model, df)
+    assert me.auc(predictions).first()["auc"] > 0.99
+
+
+@pytest.mark.parametrize("few", [4096, 0])
+def test_unusable_vectors_do_not_hide_others(spark, few):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(100, 4)))]
+    bad = [(200, [float("nan"), 1.0, 1.0, 1.0]), (201, [float("inf")] * 4), (202, [None, 1.0, 1.0, 1.0]), (203, None)]
+    schema = "id bigint, embedding array<double>"
+    good, all_rows = spark.createDataFrame(rows, schema), spark.createDataFrame(rows + bad, schema)
+    want = {tuple(r) for r in knn.nearest(good, good, 3, max_sent_queries=few).collect()}
+    assert len(want) == 300
+    assert {tuple(r) for r in knn.nearest(all_rows, all_rows, 3, max_sent_queries=few).collect()} == want
+    assert {r["id"] for r in knn.unusable_vectors(all_rows).collect()} == {200, 201, 202, 203}
+    short = spark.createDataFrame(rows + [(300, [1.0])], schema)
+    with pytest.raises(Exception, match="expected 4 elements"):
+        knn.nearest(good, short, 3, max_sent_queries=few).collect()
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    from casegraph.functions.vectors import mean_of_vectors
+
+    df = spark.createDataFrame([([1.0, 2.0],), ([3.0, 4.0],), (None,)], "v array<double>")
+    assert df.agg(mean_of_vectors(F.col("v"), 2).alias("m")).first()["m"] == [2.0, 3.0]
+    with pytest.raises(Exception, match="expected 2 elements"):
+        df.union(spark.createDataFrame([([1.0, 2.0, 3.0],)], "v array<double>")).agg(mean_of_vectors(F.col("v"), 2)).collect()

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as registered
 from oracle import connect, difference
+from workload import case_queries
+from workload.tables import Tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,7 +46,9 @@ def test_entry(spark):
 
 
 def test_model_report(spark):
-    rows = registered.queries()["mortality_model"](spark, SF).collect()
-    values = {r["metric"]: r["value"] for r in rows}
+    """The run on all 13 features and their neighbourhoods is iterative and has no SQL counterpart."""
+    evaluated = case_queries.evaluated(Tables(spark, SF))
+    values = {r["metric"]: r["value"] for r in evaluated.report.collect()}
+    assert evaluated.predictions.where("prob BETWEEN 0 AND 1").count() == evaluated.predictions.count() > 0
     assert set(values) == {"auc", "f1", "precision", "recall"}
     assert 0.0 <= values["f1"] <= 1.0

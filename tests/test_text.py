@@ -108,13 +108,13 @@ def test_model_failure_stays_with_its_note(spark):
     ).coalesce(1)
     extracted = en.model_mentions(notes, load_model)
     errors = {r["hadm_id"]: r["error"] for r in extracted.collect()}
-    assert errors == {1: None, 2: "ValueError: cannot read", 3: None}
+    assert errors == {1: None, 2: "ValueError: cannot read", 3: None, 4: None}
     sets = en.entity_sets(en.mention_rows(extracted, en.label_kinds("Drug")))
     full = {r["hadm_id"]: tuple(r)[1:] for r in en.complete_entity_sets(sets, extracted.where("error IS NULL")).collect()}
-    assert full == {1: (["cough"], ["flu"], ["aspirin"]), 3: ([], [], [])}
+    assert full == {1: (["cough"], ["flu"], ["aspirin"]), 3: ([], [], []), 4: ([], [], [])}
     done = spark.createDataFrame([(9,)], "hadm_id bigint")
     report = {r["metric"]: r["value"] for r in en.extraction_report(extracted, notes, done).collect()}
-    assert report == {"processed": 4, "failed": 1, "enriched": 2, "skipped": 0}
+    assert report == {"processed": 5, "failed": 1, "enriched": 3, "skipped": 0}
 
 
 def test_window_is_optional(spark):
@@ -139,3 +139,16 @@ def test_counts_of_cleaned_and_raw_lists(spark):
     sets = spark.createDataFrame([(1, ["fever", "##er", "ab"], [], ["well"])], schema)
     assert tuple(en.entity_counts(sets).first()) == (1, 1, 0, 0)
     assert tuple(en.entity_counts(sets, cleaned=False).first()) == (1, 3, 0, 1)
+
+
+def test_long_terms_and_many_terms_with_one_first_word(spark):
+    terms = [("acute on chronic renal failure", "disease"), ("renal failure", "disease"), ("a b c d e f g h", "symptom")]
+    terms += [(f"acute x{i}", "symptom") for i in range(5000)]
+    dictionary = spark.createDataFrame(terms, "term string, kind string")
+    text = "Acute on chronic renal failure; acute x17 and a b c d e f g h, acute x4999 acute x17"
+    notes = spark.createDataFrame([(1, text), (2, ""), (3, "renal")], "hadm_id bigint, text string")
+    got = {(r["term"], r["n"]) for r in en.dictionary_mentions(notes, dictionary).collect()}
+    assert got == {
+        ("acute on chronic renal failure", 1), ("renal failure", 1), ("a b c d e f g h", 1), ("acute x17", 2), ("acute x4999", 1)
+    }
+    assert en.dictionary_mentions(notes, dictionary.limit(0)).count() == 0

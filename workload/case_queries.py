@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from casegraph.functions.vectors import squared_l2
 from casegraph.operators import context as cx
 from casegraph.operators import entities as en
+from casegraph.operators import features as fe
 from casegraph.operators import knn
 from casegraph.operators import metrics as me
+from casegraph.operators import model as mo
 from casegraph.operators import ranking as rk
 from casegraph.plans import stages
+from casegraph.session import materialize
+from workload.cohort_queries import features
 from workload.graph_queries import graph
 from workload.registry import joined, q, q_sql, query
 from workload.tables import Tables, with_ctes
@@ -62,25 +67,61 @@ def _(t: Tables):
     return me.metric_report(t.scored).withColumn("value", q(F.col("value"), 6))
 
 
-# ---- trained model (iterative: no SQL counterpart)
+# ---- trained model
 
 
-def _evaluated(t: Tables) -> stages.Evaluation:
+def evaluated(t: Tables) -> stages.Evaluation:
+    """The whole run: all features and neighbourhoods, trained, chosen and tested."""
     tables = stages.written(
         stages.CaseTables(t.admissions, t.patients, t.diagnoses, t.procedures, t.labs, t.prescriptions, t.notes)
     )
-    entities = stages.extract_entities(tables, lambda notes: en.dictionary_mentions(notes, t.dictionary, max_term_words=2))
+    entities = stages.extract_entities(tables, lambda notes: en.dictionary_mentions(notes, t.dictionary))
     return stages.train_and_evaluate(stages.build_training_graph(tables, entities))
 
 
-@query("mortality_model")
+@query(
+    "mortality_model",
+    # Without regularisation on the one-hot insurance, the optimum is the weighted rate of each insurance.
+    with_ctes(
+        "adm",
+        f"""SELECT insurance, {q_sql('1.5 * n1 / (1.5 * n1 + n0)', 3)} AS prob FROM (
+              SELECT insurance, count(*) FILTER (label = 1) AS n1, count(*) FILTER (label = 0) AS n0 FROM balanced GROUP BY insurance)""",
+        ranked="""SELECT hadm_id, insurance, hospital_expire_flag AS label, count(*) OVER () AS n,
+                  row_number() OVER (ORDER BY md5(hadm_id || '|42'), hadm_id) AS rn FROM adm""",
+        training="""SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(hadm_id || '|42'), hadm_id) AS place,
+                    sum(label) OVER () AS positives FROM ranked WHERE rn <= floor(0.8 * n)""",
+        balanced="SELECT * FROM training WHERE label = 1 OR place <= 2 * positives",
+    ),
+)
 def _(t: Tables):
-    return _evaluated(t).report
+    groups = sorted(r["l_returnflag"] for r in t.scan("lineitem", "l_returnflag").distinct().collect())
+    one_hot = F.array(*((F.col("insurance") == g).cast("double") for g in groups))
+    rows = t.admissions.select("hadm_id", "insurance", F.col("hospital_expire_flag").alias("label"), one_hot.alias("features"))
+    rows = materialize(rk.split_exact(rows, "hadm_id"), "insurance-examples")
+    balanced = rk.undersample(rows.where("split = 'train'"), "hadm_id", "label")
+    trained = mo.train(balanced, rows.where("split = 'val'"), reg_params=(0.0,), max_iter=300, tol=1e-12)
+    predicted = mo.score(trained.model, balanced.select("insurance", "features").distinct())
+    return predicted.select("insurance", q(F.col("prob"), 3).alias("prob"))
 
 
-@query("predictions")
+# Weights of the features in the order of ``fe.FEATURES``.
+_WEIGHTS = (0.0001, 0.0005, 0.25, -0.125, 0.0625, 0.03, -0.05, 0.02, -0.04, -0.00001, 0.1, -0.2, 0.15)
+_BIAS = -0.5
+_MARGIN = f"{_BIAS} + " + " + ".join(f"({w}::DOUBLE) * {c}" for w, c in zip(_WEIGHTS, fe.FEATURES))
+
+
+@query(
+    "predictions",
+    with_ctes(
+        "feat",
+        f"""SELECT hadm_id, {q_sql('p', 6)} AS prob, (p >= 0.5)::INTEGER AS pred
+            FROM (SELECT hadm_id, 1 / (1 + exp(-({_MARGIN}))) AS p FROM feat)""",
+    ),
+)
 def _(t: Tables):
-    return _evaluated(t).predictions.select("hadm_id", "split", "prob")
+    rows = features(t).select("hadm_id", F.array(*fe.FEATURES).alias("features"))
+    scored = mo.score(mo.LinearModel(_WEIGHTS, _BIAS), rows)
+    return scored.select("hadm_id", q(F.col("prob"), 6).alias("prob"), "pred")
 
 
 # ---- retrieval
@@ -109,6 +150,17 @@ def _(t: Tables):
     return found.withColumn("distance", q(F.col("distance")))
 
 
+@query(
+    "l2_distance",
+    f"""SELECT a.vec_id AS id, {q_sql('list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) ** 2')} AS distance
+        FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+)
+def _(t: Tables):
+    after = t.embeddings.select((F.col("hadm_id") - 1).alias("hadm_id"), F.col("embedding").alias("next"))
+    both = t.embeddings.join(after, "hadm_id")
+    return both.select(F.col("hadm_id").alias("id"), q(squared_l2(F.col("embedding"), F.col("next"))).alias("distance"))
+
+
 @query(
     "case_lookup",
     "SELECT doc_id AS hadm_id, doc_id IN (SELECT vec_id FROM embeddings) AS found FROM documents",
@@ -179,8 +231,8 @@ def _(t: Tables):
     "neighbor_outcome",
     with_ctes(
         "near adm",
-        f"""SELECT query_id, count(*) AS n_neighbors, {q_sql('avg(hospital_expire_flag)')} AS death_rate
-            FROM near JOIN adm ON neighbor_id = hadm_id GROUP BY query_id""",
+        f"""SELECT query_id, count(*) AS n_neighbors, count(hospital_expire_flag) AS n_known,
+            {q_sql('avg(hospital_expire_flag)')} AS death_rate FROM near LEFT JOIN adm ON neighbor_id = hadm_id GROUP BY query_id""",
     ),
 )
 def _(t: Tables):

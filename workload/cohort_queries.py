@@ -121,7 +121,8 @@ _FUNNEL = [
     ("diagnoses", "deduplicate", "c_codes", "c_diag"),
     ("procedures", "deduplicate", "c_codes", "c_proc"),
     ("labs", "range", "c_labs", "v_labs"),
-    ("prescriptions", "deduplicate", "presc", "v_presc"),
+    ("prescriptions", "admission", "presc", "r_presc"),
+    ("prescriptions", "deduplicate", "r_presc", "v_presc"),
 ]
 
 
@@ -145,7 +146,8 @@ _FUNNEL = [
         c_proc="SELECT DISTINCT hadm_id, proc, icd_version FROM c_codes",
         c_labs="SELECT * FROM labs WHERE hadm_id IN (SELECT doc_id FROM documents)",
         v_labs="SELECT * FROM c_labs WHERE valuenum BETWEEN -1000 AND 1000000",
-        v_presc="SELECT DISTINCT hadm_id, drug, starttime FROM presc",
+        r_presc="SELECT * FROM presc WHERE hadm_id IN (SELECT hadm_id FROM v_adm)",
+        v_presc="SELECT DISTINCT hadm_id, drug, starttime FROM r_presc",
     ),
 )
 def _(t: Tables):

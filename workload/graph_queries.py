@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from casegraph.functions.scalars import hours_between
@@ -139,6 +141,42 @@ def _(t: Tables):
     )
 
 
+# Edge type, its rows, and the columns of its ends.
+_INDEXED = [
+    ("HAS_ADMISSION", "adm", "subject_id", "hadm_id"), ("DIAGNOSED_WITH", "diag", "hadm_id", "icd_code"),
+    ("PRESCRIBED", "presc", "hadm_id", "drug"), ("HAS_PROCEDURE", "proc", "hadm_id", "icd_code"),
+    ("HAS_LAB", "(SELECT DISTINCT hadm_id, itemid FROM labs)", "hadm_id", "itemid"),
+]
+
+
+def _index_sql(key: str, rows: str) -> str:
+    return f"(SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS idx FROM (SELECT DISTINCT {key} FROM {rows}))"
+
+
+@query(
+    "edge_index_all",
+    with_ctes(
+        "adm diag presc proc labs",
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS edge_type, a.idx AS src_idx, b.idx AS dst_idx FROM {rows} e
+                JOIN {_index_sql(src, 'adm')} a ON e.{src} = a.{src}
+                JOIN {_index_sql(dst, 'adm' if name == 'HAS_ADMISSION' else rows)} b ON e.{dst} = b.{dst}"""
+            for name, rows, src, dst in _INDEXED
+        ),
+    ),
+)
+def _(t: Tables):
+    admissions = materialize(t.admissions.select("hadm_id", "subject_id"), "admissions")
+    index, patients = rk.dense_index(admissions, "hadm_id"), rk.dense_index(admissions, "subject_id")
+    tables = {"DIAGNOSED_WITH": t.diagnoses, "PRESCRIBED": t.prescriptions, "HAS_PROCEDURE": t.procedures, "HAS_LAB": gr.lab_pairs(t.labs)}
+    found = {"HAS_ADMISSION": gr.indexed_edges(admissions, "subject_id", patients, "hadm_id", index)}
+    for name, _, _, item in _INDEXED[1:]:
+        rows = materialize(tables[name].select("hadm_id", item), "edge-rows")
+        found[name] = gr.indexed_edges(rows, "hadm_id", index, item, rk.dense_index(rows, item))
+    typed = [edges.select(F.lit(name).alias("edge_type"), "src_idx", "dst_idx") for name, edges in found.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), typed)
+
+
 @query("edges_long", with_ctes(_ALL, _LONG_SQL))
 def _(t: Tables):
     return gr.long_edges(graph(t).edges)
@@ -318,6 +356,23 @@ def _(t: Tables):
     )
 
 
+@query(
+    "propagate_2hop",
+    f"""WITH own AS (SELECT o_orderkey AS id, o_totalprice / 1000 AS x FROM orders),
+        pairs AS (SELECT DISTINCT l_orderkey AS id, l_partkey AS item FROM lineitem),
+        items AS (SELECT item, avg(x) AS x FROM pairs JOIN own USING (id) GROUP BY item),
+        back AS (SELECT id, avg(x) AS x FROM pairs JOIN items USING (item) GROUP BY id)
+        SELECT own.id AS hadm_id, {q_sql('own.x')} AS own, {q_sql('coalesce(back.x, 0)')} AS shared FROM own LEFT JOIN back USING (id)""",
+)
+def _(t: Tables):
+    own = t.scan("orders", "o_orderkey", "o_totalprice").select(
+        F.col("o_orderkey").alias("hadm_id"), F.array(F.col("o_totalprice").cast("double") / 1000).alias("features")
+    )
+    pairs = t.scan("lineitem", "l_orderkey", "l_partkey").toDF("case", "item").distinct()
+    wide = pr.neighbourhood_features(own, {"OF_PART": materialize(pairs, "pairs")}, 1)
+    return wide.select("hadm_id", q(F.col("features")[0]).alias("own"), q(F.col("features")[1]).alias("shared"))
+
+
 # Small weights that are exact in binary.
 _PART_W, _PART_B, _PART_R = [[0.5, -0.25], [0.25, 1.0]], [0.125, -0.5], [[1.0, 0.5], [-0.5, 0.25]]
 _SUPP_W, _SUPP_B, _SUPP_R = [[-0.5, 0.75], [1.0, 0.125]], [0.25, 0.0], [[0.25, -1.0], [0.5, 0.5]]

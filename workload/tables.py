@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from casegraph.functions.scalars import hours_between
 from casegraph.operators.cohort import at_least, valid_interval
-from casegraph.operators.entities import clean_entity_sets, dictionary_mentions, entity_counts, entity_sets
+from casegraph.operators.entities import (
+    clean_entity_sets, complete_entity_sets, dictionary_mentions, entity_counts, entity_sets,
+)
 from casegraph.plans.stages import MIN_AGE
 from casegraph.sources.readers import scan_parquet
 
@@ -22,6 +24,8 @@ DICTIONARY = [
     ("the", "symptom"), ("and", "symptom"), ("well", "symptom"), ("of the", "symptom"),
     ("der", "disease"), ("that", "disease"), ("is", "disease"), ("the the", "disease"),
     ("for", "medication"), ("la", "medication"), ("low", "medication"), ("de la", "medication"),
+    ("licensed under the", "symptom"), ("licensed under the apache license", "disease"),
+    ("is licensed under the", "medication"),
 ]
 URGENT = ("1-URGENT", "2-HIGH")
 
@@ -110,16 +114,21 @@ class Tables:
 
     @cached_property
     def mentions(self) -> DataFrame:
-        return dictionary_mentions(self.notes, self.dictionary, max_term_words=2)
+        return dictionary_mentions(self.notes, self.dictionary)
+
+    @cached_property
+    def entity_sets(self) -> DataFrame:
+        """Lists of every note's case, empty ones too."""
+        return complete_entity_sets(entity_sets(self.mentions), self.notes)
 
     @cached_property
     def entity_counts(self) -> DataFrame:
-        return entity_counts(entity_sets(self.mentions))
+        return entity_counts(self.entity_sets)
 
     @cached_property
     def entities(self) -> DataFrame:
         """Cleaned entity lists."""
-        return clean_entity_sets(entity_sets(self.mentions))
+        return clean_entity_sets(self.entity_sets)
 
     @cached_property
     def embeddings(self) -> DataFrame:
@@ -177,14 +186,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "gram": (
         ("tok",),
         """SELECT doc_id, unnest(ws) AS term FROM tok UNION ALL
-           SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM tok""",
+           SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM tok UNION ALL
+           SELECT doc_id, unnest(flatten(list_transform(range(1, len(ws)), lambda i:
+             [array_to_string(ws[i:i + n], ' ') FOR n IN [2, 3, 4] IF i + n <= len(ws)]))) FROM tok""",
     ),
     "mention": (
         ("gram", "dict"),
         """SELECT doc_id AS hadm_id, term, kind, count(*) AS n FROM gram JOIN dict USING (term)
            GROUP BY doc_id, term, kind""",
     ),
-    "sets": (
+    "mention_sets": (
         ("mention",),
         """SELECT hadm_id,
            coalesce(list_sort(list(DISTINCT term) FILTER (kind = 'symptom')), []) AS symptoms,
@@ -192,6 +203,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
            coalesce(list_sort(list(DISTINCT term) FILTER (kind = 'medication')), []) AS medications
            FROM mention GROUP BY hadm_id""",
     ),
+    "sets": (
+        ("mention_sets",),
+        """SELECT doc_id AS hadm_id, coalesce(symptoms, []) AS symptoms, coalesce(diseases, []) AS diseases,
+           coalesce(medications, []) AS medications FROM documents LEFT JOIN mention_sets ON doc_id = hadm_id""",
+    ),
     "clean_sets": (
         ("sets",),
         "SELECT hadm_id, "

@@ -43,12 +43,12 @@ def _(t: Tables):
 
 @query("entity_sets", with_ctes("sets", _SHOWN_SQL + "sets"))
 def _(t: Tables):
-    return _shown(en.entity_sets(t.mentions))
+    return _shown(t.entity_sets)
 
 
 @query("entity_clean", with_ctes("clean_sets", _SHOWN_SQL + "clean_sets"))
 def _(t: Tables):
-    return _shown(en.clean_entity_sets(en.entity_sets(t.mentions)))
+    return _shown(t.entities)
 
 
 @query(
@@ -70,14 +70,16 @@ def _(t: Tables):
         c_tok=r"""SELECT conv_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ws
                   FROM conversations""",
         c_gram="""SELECT conv_id, unnest(ws) AS term FROM c_tok UNION ALL
-                  SELECT conv_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM c_tok""",
+                  SELECT conv_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM c_tok UNION ALL
+                  SELECT conv_id, unnest(flatten(list_transform(range(1, len(ws)), lambda i:
+                    [array_to_string(ws[i:i + n], ' ') FOR n IN [2, 3, 4] IF i + n <= len(ws)]))) FROM c_tok""",
         found="""SELECT hadm_id, term, kind FROM mention UNION SELECT conv_id, term, kind FROM c_gram JOIN dict USING (term)""",
-        merged=CTES["sets"][1].replace("FROM mention", "FROM found"),
+        merged=CTES["mention_sets"][1].replace("FROM mention", "FROM found"),
     ),
 )
 def _(t: Tables):
     talks = t.scan("conversations", "conv_id", "text").toDF("hadm_id", "text")
-    later = en.entity_sets(en.dictionary_mentions(talks, t.dictionary, max_term_words=2))
+    later = en.entity_sets(en.dictionary_mentions(talks, t.dictionary))
     return _shown(en.merge_entity_sets(en.entity_sets(t.mentions), later))
 
 
@@ -125,13 +127,13 @@ def _(t: Tables):
 
 
 def _load_tagger():
-    """A stand-in for a model: it tags one word, and fails on input beyond its limit."""
+    """A stand-in for a model: it tags one word, and fails on texts with a certain mark."""
 
     def tag(texts):
         found = []
         for text in texts:
-            if len(text) > 5000:
-                raise ValueError("input too long")
+            if "###" in text:
+                raise ValueError("cannot read ###")
             found.append([{"entity_group": "Sign_symptom", "word": w} for w in text.split() if w == "the"])
         return found
 
@@ -142,8 +144,8 @@ def _load_tagger():
     "extract_report",
     """WITH pending AS (SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
        SELECT 'processed' AS metric, count(*) AS value FROM pending
-       UNION ALL SELECT 'failed', count(*) FROM pending WHERE length(text) > 5000
-       UNION ALL SELECT 'enriched', count(DISTINCT doc_id) FROM pending WHERE length(text) <= 5000
+       UNION ALL SELECT 'failed', count(*) FROM pending WHERE contains(text, '###')
+       UNION ALL SELECT 'enriched', count(DISTINCT doc_id) FROM pending WHERE NOT contains(text, '###')
        UNION ALL SELECT 'skipped', count(*) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""",
 )
 def _(t: Tables):
