@@ -7,6 +7,7 @@ every join and are reduced to distinct identities before it where the result all
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -123,7 +124,9 @@ class CaseGraph:
 def build_graph(
     admissions: DataFrame, patients: DataFrame, diagnoses: DataFrame, procedures: DataFrame,
     prescriptions: DataFrame, labs: DataFrame, entity_lists: DataFrame | None = None, multiplicity: str = "merge",
+    write: Callable[[DataFrame, str], DataFrame] = lambda table, name: table,
 ) -> CaseGraph:
+    """Node and edge tables. ``write`` may store the edge tables of which nodes are derived, so that they are made once."""
     nodes, edges = {}, {}
     nodes["Patient"] = patient_nodes(admissions, patients)
     nodes["Admission"] = admission_nodes(admissions)
@@ -131,9 +134,9 @@ def build_graph(
         nodes["Admission"] = enrich_admissions(nodes["Admission"], entity_lists)
     edges["HAS_ADMISSION"] = has_admission_edges(admissions)
     edges["DIAGNOSED_WITH"] = fact_edges(diagnoses, admissions, "icd_code", multiplicity=multiplicity)
-    edges["PRESCRIBED"] = fact_edges(prescriptions, admissions, "drug", ("starttime",), multiplicity)
+    edges["PRESCRIBED"] = write(fact_edges(prescriptions, admissions, "drug", ("starttime",), multiplicity), "prescribed")
     edges["HAS_PROCEDURE"] = fact_edges(procedures, admissions, "icd_code", multiplicity=multiplicity)
-    edges["HAS_LAB"] = lab_edges(labs, admissions)
+    edges["HAS_LAB"] = write(lab_edges(labs, admissions), "has-lab")
     nodes["Diagnosis"] = code_nodes(diagnoses, admissions)
     nodes["Medication"] = item_nodes(edges["PRESCRIBED"], "drug")
     nodes["Procedure"] = code_nodes(procedures, admissions)

@@ -126,9 +126,15 @@ def _bucket_counts(df: DataFrame, key: str, seed: int) -> list[tuple[str, int]]:
     return sorted((row["bucket"], row["count"]) for row in rows)
 
 
-def hash_cuts(df: DataFrame, key: str, seed: int, fractions: Sequence[float] = (), rows: Sequence[int] = ()) -> list[HashCut]:
-    """Cuts after ``floor(fraction * N)`` rows for each fraction, or after given row numbers. ``key`` is unique."""
-    counts = _bucket_counts(df, key, seed)
+def hash_cuts(
+    df: DataFrame, key: str, seed: int, fractions: Sequence[float] = (), rows: Sequence[int] = (),
+    counts: list[tuple[str, int]] | None = None,
+) -> list[HashCut]:
+    """Cuts after ``floor(fraction * N)`` rows for each fraction, or after given row numbers. ``key`` is unique.
+
+    ``counts`` are the rows per hash bucket, if they are known already.
+    """
+    counts = _bucket_counts(df, key, seed) if counts is None else counts
     total = sum(n for _, n in counts)
     wanted = [int(f * total) for f in fractions] + [min(n, total) for n in rows]
     inside: dict[int, tuple[str, int]] = {}
@@ -178,8 +184,12 @@ def split_hash(df: DataFrame, key: str, seed: int = 42, train: float = 0.8, vali
 
 def undersample(df: DataFrame, key: str, label: str, ratio: int = 2, seed: int = 42) -> DataFrame:
     """All positives and ``ratio`` times as many negatives, chosen by hash order."""
-    positives = df.where(F.col(label) == 1).count()
-    (cut,) = hash_cuts(df.where(F.col(label) == 0), key, seed, rows=[ratio * positives])
+    # one pass counts the positives and, for the cut, the negatives per hash bucket
+    bucket = F.when(F.col(label) == 0, F.substring(hash_order(key, seed), 1, _BUCKET_DIGITS))
+    found = df.groupBy(F.col(label).alias("label"), bucket.alias("bucket")).count().collect()
+    positives = sum(r["count"] for r in found if r["label"] == 1)
+    counts = sorted((r["bucket"], r["count"]) for r in found if r["label"] == 0)
+    (cut,) = hash_cuts(df.where(F.col(label) == 0), key, seed, rows=[ratio * positives], counts=counts)
     return df.where((F.col(label) == 1) | ((F.col(label) == 0) & cut.includes()))
 
 

@@ -148,7 +148,7 @@ class TrainingGraph:
 
     admissions: DataFrame  # hadm_id, idx, features, label, split
     patients: DataFrame  # subject_id, idx, anchor_age (standardised)
-    vocabularies: dict[str, DataFrame]  # node type -> key, idx
+    vocabularies: dict[str, DataFrame]  # node type -> key, idx, features (constant)
     edges: dict[str, DataFrame]  # edge type -> src_idx, dst_idx
 
 
@@ -185,7 +185,8 @@ def build_training_graph(tables: CaseTables, entities: DataFrame, fit_on: str =
     vocabularies, edges = {}, {}
     edges["HAS_ADMISSION"] = gr.indexed_edges(tables.admissions, "subject_id", patient_index, "hadm_id", index)
     for (edge_type, (_, item, node_type)), vocabulary in zip(facts.items(), indexes):
-        vocabularies[node_type] = vocabulary
+        # these nodes have no properties: their feature is a constant
+        vocabularies[node_type] = vocabulary.withColumn("features", F.array(F.lit(1.0)))
         edges[edge_type] = gr.indexed_edges(kept[edge_type], "hadm_id", index, item, vocabulary)
     return TrainingGraph(rows.join(index, "hadm_id"), ages.join(patient_index, "subject_id"), vocabularies, edges)
 

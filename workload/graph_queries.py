@@ -19,10 +19,10 @@ from workload.registry import joined, q, q_sql, query
 from workload.tables import Tables, with_ctes
 
 
-def graph(t: Tables) -> gr.CaseGraph:
+def graph(t: Tables, **options) -> gr.CaseGraph:
     admissions = materialize(t.admissions, "admissions")
     return gr.build_graph(
-        admissions, t.patients, t.diagnoses, t.procedures, t.prescriptions, t.labs, t.entities
+        admissions, t.patients, t.diagnoses, t.procedures, t.prescriptions, t.labs, t.entities, **options
     )
 
 
@@ -210,7 +210,7 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    return gr.graph_stats(graph(t))
+    return gr.graph_stats(graph(t, write=materialize))
 
 
 @query(
