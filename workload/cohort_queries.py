@@ -401,3 +401,19 @@ def _(t: Tables):
     return t.scan("customer", "c_custkey", "c_acctbal", "c_nationkey").select(
         "c_custkey", q(sc.softmax2(l0, l1), 6).alias("prob"), sc.argmax2(l0, l1).alias("pred")
     )
+
+
+@query(
+    "timestamp_parse",
+    # Texts of three shapes: with a fraction, with seconds only, and one that is no timestamp.
+    """SELECT event_id, CASE WHEN event_id % 7 = 3 THEN NULL WHEN event_id % 2 = 0 THEN ts ELSE date_trunc('second', ts) END AS ts
+       FROM events""",
+)
+def _(t: Tables):
+    ts, number = F.col("ts"), F.col("event_id")
+    text = (
+        F.when(number % 7 == 3, F.concat(F.lit("no time "), F.col("event_type")))
+        .when(number % 2 == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+    )
+    return t.scan("events", "event_id", "ts", "event_type").select("event_id", sc.parse_timestamp(text, "null").alias("ts"))
