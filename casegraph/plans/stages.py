@@ -23,7 +23,8 @@ from casegraph.operators import propagate as pr
 from casegraph.operators import ranking as rk
 from casegraph.operators.report import funnel
 from casegraph.session import at_once, materialize
-from casegraph.sources.readers import scan_table
+from casegraph.sources import sinks
+from casegraph.sources.readers import scan_parquet, scan_table
 from casegraph.sources.schemas import DataLayout
 
 # Plausible range of a lab value, youngest patient age, split seed.
@@ -50,6 +51,31 @@ def written(tables: CaseTables) -> CaseTables:
     return CaseTables(**dict(zip(names, stored)))
 
 
+def save_tables(tables: CaseTables, layout: DataLayout, stage: str) -> None:
+    """Write the tables of a stage to the output folder; ``saved_tables`` reads them back."""
+    at_once([lambda f=f: sinks.write_table(getattr(tables, f.name), layout.output(f"{stage}/{f.name}")) for f in fields(tables)])
+
+
+def saved_tables(spark: SparkSession, layout: DataLayout, stage: str) -> CaseTables:
+    return CaseTables(**{f.name: scan_parquet(spark, layout.output(f"{stage}/{f.name}")) for f in fields(CaseTables)})
+
+
+def save_results(
+    layout: DataLayout, reports: dict[str, DataFrame] | None = None, entities: DataFrame | None = None,
+    embeddings: DataFrame | None = None, predictions: DataFrame | None = None, cases: DataFrame | None = None,
+) -> None:
+    """Write what the later stages made: reports, entity lists, embedding table, predictions and case results."""
+    for name, report in (reports or {}).items():
+        sinks.write_report(report, layout.output(f"reports/{name}"))
+    if entities is not None:
+        sinks.write_entities(entities, layout.output("entities"))
+    for name, table in (("embeddings", embeddings), ("predictions", predictions)):
+        if table is not None:
+            sinks.write_table(table, layout.output(name))
+    if cases is not None:
+        sinks.write_case_results(cases, layout.output("cases"))
+
+
 def load_tables(spark: SparkSession, layout: DataLayout, **options) -> CaseTables:
     def read(table: str) -> DataFrame:
         return scan_table(spark, layout, table, **options)
@@ -196,6 +222,7 @@ class Evaluation:
     model: mo.TrainedModel
     predictions: DataFrame  # hadm_id, label, split, prob, pred
     report: DataFrame
+    embeddings: DataFrame  # hadm_id, idx, embedding: what the classifier saw, for retrieval
 
 
 def train_and_evaluate(graph: TrainingGraph, with_neighbourhood: bool = True) -> Evaluation:
@@ -216,19 +243,25 @@ def train_and_evaluate(graph: TrainingGraph, with_neighbourhood: bool = True) ->
     balanced = rk.undersample(rows.where("split = 'train'"), "hadm_id", "label", seed=SEED)
     trained = mo.train(balanced, rows.where("split = 'val'"))
     predictions = mo.score(trained.model, rows).select("hadm_id", "label", "split", "prob", "pred")
-    return Evaluation(trained, predictions, me.metric_report(predictions.where("split = 'test'")))
+    embeddings = rows.select("hadm_id", "idx", F.col("features").alias("embedding"))
+    return Evaluation(trained, predictions, me.metric_report(predictions.where("split = 'test'")), embeddings)
 
 
 def explain_cases(
     graph: gr.CaseGraph, embeddings: DataFrame, predictions: DataFrame, queries: DataFrame | None = None, k: int = 5
 ) -> DataFrame:
-    """Prompt and neighbours for each query case (``hadm_id``); the first test case if none is given.
+    """Prompt and neighbours for each query case (``hadm_id``, or ``idx`` of the embeddings); the first test case if none is given.
 
     ``embeddings`` are (hadm_id, embedding); ``predictions`` need ``prob``, and ``split`` for the default case.
     An id that is not among the embeddings is an error.
     """
     if queries is None:
         queries = rk.first_in_split(predictions, "hadm_id")
+    if "hadm_id" not in queries.columns:
+        missing = queries.join(embeddings, "idx", "left_anti").limit(1).collect()
+        if missing:
+            raise ValueError(f"there is no case at position {missing[0]['idx']}")
+        queries = embeddings.join(queries, "idx", "left_semi").select("hadm_id")
     unknown = knn.lookup(queries, embeddings).where(~F.col("found")).limit(1).collect()
     if unknown:
         raise ValueError(f"hadm_id {unknown[0]['hadm_id']} has no embedding")

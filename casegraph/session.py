@@ -47,6 +47,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_tables: list[str] = []  # written by this process and not dropped yet
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote. DataFrames that read them cannot be used any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    dropped = 0
+    while _tables:
+        target = hadoop(_tables.pop())
+        dropped += bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
+    return dropped
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -55,6 +68,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/casegraph-{name}-{uuid.uuid4().hex}"
+    _tables.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -119,6 +119,23 @@ def test_files_to_explained_cases(spark, tmp_path):
     assert len(prompt) == 1 and len(prompt[0]["similar_patients"]) == 3
     assert prompt[0]["prediction"] in prompt[0]["user_prompt"]
     assert "[Similar Patient 3] — Outcome: " in prompt[0]["user_prompt"]
+    place = result.embeddings.where(F.col("hadm_id") == prompt[0]["hadm_id"]).first()["idx"]
+    by_place = stages.explain_cases(graph, result.embeddings, result.predictions, spark.createDataFrame([(place,)], "idx bigint"), k=3)
+    assert [r["hadm_id"] for r in by_place.collect()] == [prompt[0]["hadm_id"]]
+    with pytest.raises(ValueError):
+        stages.explain_cases(graph, result.embeddings, result.predictions, spark.createDataFrame([(10**6,)], "idx bigint"))
+    assert {tuple(r["features"]) for v in training.vocabularies.values() for r in v.collect()} == {(1.0,)}
+
+    cases = cx.case_results(by_place)
+    stages.save_tables(tables, layout, "cleaned")
+    stages.save_results(layout, {"cleaning": report}, entities, result.embeddings, result.predictions, cases)
+    again = stages.saved_tables(spark, layout, "cleaned")
+    assert sorted(map(str, again.admissions.collect())) == sorted(map(str, tables.admissions.collect()))
+    assert readers.scan_entities(spark, layout.output("entities")).count() == entities.count()
+    assert spark.read.json(layout.output("reports/cleaning")).count() == report.count()
+    assert spark.read.parquet(layout.output("embeddings")).count() == 53
+    assert spark.read.parquet(layout.output("predictions")).count() == result.predictions.count()
+    assert sinks.read_case_result(spark, layout.output("cases"), prompt[0]["hadm_id"]).count() == 1
     unknown = spark.createDataFrame([(999_999,)], "hadm_id bigint")
     with pytest.raises(ValueError):
         stages.explain_cases(graph, embeddings, result.predictions, unknown)
