@@ -7,7 +7,7 @@ are grouped by a 128-bit hash before anything else.
 Edits: a line is split into ``edits + 1`` even segments. Of two lines within so many edits, one segment of the
 shorter stands unchanged in the longer, at one of a few places that follow from the lengths. So every line is
 indexed under its segments (hash of length, number and text) and probes the segments of all lengths up to
-``edits`` shorter at these places. The join also compares counts of common letters, which few edits can change
+``edits`` shorter at these places. Segments that no other line has go first. The join also compares counts of common letters, which few edits can change
 by little only; so lines that share a segment and differ elsewhere meet in the join but are not emitted. What
 is left is verified by an automaton of ``edits + 1`` bit vectors, each as wide as the band of diagonals.
 
@@ -19,7 +19,6 @@ is left is verified by an automaton of ``edits + 1`` bit vectors, each as wide a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,13 +40,13 @@ class Settings:
 
 
 #: Letters whose counts are compared.
-LETTERS = "etnoairs"
+LETTERS = "etnoairshdlucmpg"
 
 
 def lines_of(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFrame:
     """A row per line that takes part: its document, place, length, folded text and hash."""
     lines = docs.select(F.col(id).alias("doc"), F.xxhash64(text).alias("version"), F.posexplode(F.split(text, "\n")))
-    lines = lines.withColumn("folded", F.lower(F.trim("col", F.lit(" \t\r")))).withColumn("chars", F.char_length("folded"))
+    lines = lines.withColumn("folded", F.lower(F.trim("col"))).withColumn("chars", F.char_length("folded"))
     lines = lines.where(F.col("chars") >= settings.min_chars)
     return lines.select(
         "doc", "version", F.col("pos").alias("line"), "chars", "folded",
@@ -55,46 +54,48 @@ def lines_of(docs: DataFrame, id: str, text: str, settings: Settings) -> DataFra
     )
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Begin (from 0) and length of segment ``i``; the last ones are one longer where the split is uneven."""
-    base, longer = F.floor(length / (edits + 1)).cast("int"), length % (edits + 1)
-    short = (edits + 1) - longer
-    return base * i + F.greatest(F.lit(0), i - short), base + (i >= short).cast("int")
-
-
-def _key(length: Column, i: int, begin: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, F.col("folded").substr(begin + 1, size))
-
-
-def index_keys(edits: int) -> list[Column]:
-    return [_key(F.col("chars"), i, *_segment(F.col("chars"), i, edits)) for i in range(edits + 1)]
-
-
-def probe_keys(edits: int) -> Iterator[tuple[int, Column]]:
-    """Keys under which lines ``shorter`` characters shorter may be found."""
+def places(edits: int) -> list[tuple[int, int, int]]:
+    """Where the segments of a line may stand in a longer one: characters shorter, segment, shift. Equal lengths come first."""
+    out = []
     for shorter in range(edits + 1):
-        length = F.col("chars") - shorter
         for i in range(edits + 1):
-            begin, size = _segment(length, i, edits)
             # at most i edits before the segment, and edits - i behind it
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                yield shorter, _key(length, i, begin + shift, size)
+                out.append((shorter, i, shift))
+    return out
+
+
+def segment_keys(edits: int) -> Column:
+    """Hash of length, number and text of the segment at each of ``places``. Without shift and for the own length,
+    these are the segments of the line itself. A lambda keeps the generated code short enough to be compiled."""
+    options = F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(p, ("shorter", "i", "shift")))) for p in places(edits)))
+
+    def key(place: Column) -> Column:
+        length, i = F.col("chars") - place["shorter"], place["i"]
+        base = F.floor(length / (edits + 1)).cast("int")
+        short = (edits + 1) - length % (edits + 1)  # the segments behind these are one longer
+        begin = base * i + F.greatest(F.lit(0), i - short) + place["shift"]
+        return F.xxhash64(i, length, F.substring("folded", begin + 1, base + (i >= short).cast("int")))
+
+    return F.transform(options, key)
 
 
 def letter_counts() -> Column:
     """Counts of some letters, modulo 16, four bits each."""
-    out = F.lit(0)
-    for k, letter in enumerate(LETTERS):
-        count = F.col("chars") - F.char_length(F.replace("folded", F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft((count % 16).cast("int"), 4 * k))
-    return out
+
+    def add(total: Column, letter: Column) -> Column:
+        count = F.col("chars") - F.char_length(F.replace(F.col("folded"), letter, F.lit("")))
+        return F.shiftleft(total, 4).bitwiseOR((count % 16).cast("long"))
+
+    return F.aggregate(F.array(*(F.lit(c) for c in LETTERS)), F.lit(0).cast("long"), add)
 
 
 def counts_differ(a: str, b: str) -> Column:
     """A lower bound of the sum of differences of the counts."""
-    total = F.lit(0)
+    total = F.lit(0).cast("long")
     for k in range(len(LETTERS)):
-        gap = (F.shiftrightunsigned(a, 4 * k) - F.shiftrightunsigned(b, 4 * k)).bitwiseAND(15)
+        count_a, count_b = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(15) for c in (a, b))
+        gap = (count_a - count_b).bitwiseAND(15)
         total = total + F.least(gap, 16 - gap)
     return total
 
@@ -103,52 +104,73 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether the edit distance of two arrays of characters is at most ``edits``.
 
     State ``e`` is a bit vector over the diagonals ``-edits..edits``: which are reached with ``e`` edits when so many
-    characters of ``b`` are read. Lines here are of about equal length, so the band covers them.
+    characters of ``b`` are read. The vectors of all ``e`` stand in one integer, a lane each, and move together.
+    Lines here are of about equal length, so the band covers them.
     """
-    width = 2 * edits + 1
-    full = (1 << width) - 1
-
-    def equal_at(j: Column) -> Column:  # bit k: does b's character j equal a's character j + k - edits?
-        out = F.lit(0)
+    width, lane = 2 * edits + 1, 2 * edits + 2  # a bit between lanes stays clear
+    lanes = [lane * e for e in range(edits + 1)]
+    full = sum(((1 << width) - 1) << at for at in lanes)
+    start = sum(((1 << (e + 1)) - 1) << (edits + at) for e, at in enumerate(lanes))  # e characters of a may be skipped
+    copies = sum(1 << at for at in lanes)
+
+    def equal_at(j: Column) -> Column:
+        """Bit k: does b's character j equal a's character j + k - edits?"""
+        own = F.get(b, j)
+        out = F.lit(0).cast("long")
         for k in range(width):
-            same = F.coalesce(F.when(j + (k - edits) >= 0, F.get(a, j + (k - edits)) == F.get(b, j)), F.lit(False))
-            out = out.bitwiseOR(F.shiftleft(same.cast("int"), k))
+            other = F.get(a, j + (k - edits)) if k >= edits else F.when(j >= edits - k, F.get(a, j - (edits - k)))
+            out = out + F.when(other == own, F.lit(1 << k)).otherwise(F.lit(0))
         return out
 
-    start = []
-    for e in range(edits + 1):  # at first, e characters of a may be skipped
-        start.append(F.lit(sum(1 << (edits + d) for d in range(e + 1))))
-
-    def step(states: Column, j: Column) -> Column:
-        equal = equal_at(j)
-        new: list[Column] = []
-        for e in range(edits + 1):
-            own = states[e].bitwiseAND(equal)
-            if e:
-                before = states[e - 1]
-                # a character replaced, one more in b, one more in a
-                own = own.bitwiseOR(before).bitwiseOR(F.shiftright(before, 1)).bitwiseOR(F.shiftleft(new[e - 1], 1))
-            new.append(own.bitwiseAND(full))
-        return F.array(*new)
-
-    last = F.aggregate(F.sequence(F.lit(0), F.size(b) - 1), F.array(*start), step)
-    end = F.size(a) - F.size(b) + edits
-    reached = F.call_function("shiftright", F.get(last, F.lit(edits)), end).bitwiseAND(1) == 1
-    return F.when(F.abs(F.size(a) - F.size(b)) > edits, F.lit(False)).when(F.size(b) == 0, F.lit(True)).otherwise(reached)
-
-
-def near_pairs(distinct_lines: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs ``a, b`` of hashes of lines that may be within the edits: each pair once."""
+    def step(state: Column, equal: Column) -> Column:
+        up = F.shiftleft(state, lane)  # one edit more
+        # a character equal, replaced, or one more in b
+        new = state.bitwiseAND(equal * copies).bitwiseOR(up).bitwiseOR(F.shiftright(up, 1))
+        return new.bitwiseAND(full)
+
+    def skip(state: Column) -> Column:  # one more in a
+        return state.bitwiseOR(F.shiftleft(state, lane + 1)).bitwiseAND(full)
+
+    def step_and_skip(state: Column, equal: Column) -> Column:
+        # the skips of the state before come first: as many as there may be
+        return step(_repeat(skip, state, edits), equal)
+
+    equal = F.transform(F.sequence(F.lit(0), F.size(b) - 1), equal_at)
+    last = F.aggregate(equal, F.lit(start).cast("long"), step_and_skip, lambda state: _repeat(skip, state, edits))
+    gap = F.size(a) - F.size(b)
+    bit = F.call_function("shiftright", last, gap + edits + lanes[-1]).bitwiseAND(1) == 1
+    return F.when(F.abs(gap) > edits, F.lit(False)).when(F.size(b) == 0, F.lit(True)).otherwise(bit)
+
+
+def _repeat(move, state: Column, times: int) -> Column:
+    for _ in range(times):
+        state = move(state)
+    return state
+
+
+def segment_rows(lines: DataFrame, settings: Settings) -> DataFrame:
+    """``id, place, key`` of all segments that lines share with others; ``place`` is an index of ``places``."""
+    lines = lines.where(F.col("chars") >= settings.min_near_chars)
+    lines = materialize(lines.select(F.col("h1").alias("id"), segment_keys(settings.edits).alias("keys")), "line-segments")
+    rows = lines.select("id", F.posexplode("keys").alias("place", "key"))
+    # most segments are those of one line only: they are found by two numbers per key, and go before any join
+    shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key")
+    shared = materialize(shared, "shared-segments")
+    shared = F.broadcast(shared) if fits(shared, settings.max_broadcast) else shared
+    return rows.join(shared, "key", "left_semi")
+
+
+def near_pairs(rows: DataFrame, counts: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs ``a, b`` of ids of lines that may be within the edits, each pair once; ``counts`` are ``id, counts``."""
     edits = settings.edits
-    lines = distinct_lines.where(F.col("chars") >= settings.min_near_chars)
-    lines = lines.select(F.col("h1").alias("id"), letter_counts().alias("letters"), "chars", "folded")
-    index = lines.select("id", "letters", F.explode(F.array(*index_keys(edits))).alias("key"))
-    probes = [F.struct((F.lit(shorter) == 0).alias("same_length"), key.alias("key")) for shorter, key in probe_keys(edits)]
-    probe = lines.select(F.col("id").alias("b"), F.col("letters").alias("letters_b"), F.explode(F.array(*probes)).alias("at"))
-    probe = probe.select("b", "letters_b", F.col("at.same_length").alias("same_length"), F.col("at.key").alias("key"))
-    index = index.select(F.col("id").alias("a"), F.col("letters").alias("letters_a"), "key")
+    where = places(edits)
+    rows = rows.join(counts, "id")
+    own = F.col("place").isin([where.index((0, i, 0)) for i in range(edits + 1)])
+    index = rows.where(own).select(F.col("id").alias("a"), F.col("counts").alias("counts_a"), "key")
+    same_length = (F.col("place") < sum(shorter == 0 for shorter, _, _ in where)).alias("same_length")
+    probe = rows.select(F.col("id").alias("b"), F.col("counts").alias("counts_b"), "key", same_length)
     once = ~F.col("same_length") | (F.col("a") < F.col("b"))
-    near = counts_differ("letters_a", "letters_b") <= 2 * edits
+    near = counts_differ("counts_a", "counts_b") <= 2 * edits
     met = probe.join(index, (probe["key"] == index["key"]) & once & (F.col("a") != F.col("b")) & near)
     return met.select("a", "b").distinct()
 
@@ -157,24 +179,33 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", setti
     """``doc, version, line`` of the lines to remove."""
     lines = lines_of(docs, id, text, settings)
     place = F.struct("doc", "version", "line")
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if fits(df, settings.max_broadcast) else df
+
+    # equal lines: only hashes that occur again are looked at any further
+    again = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    again = materialize(again, "equal-lines")
     slim = lines.select("doc", "version", "line", "h1", "h2")
-    first = materialize(slim.groupBy("h1", "h2").agg(F.min(place).alias("first")), "first-lines")
-    pairs = materialize(near_pairs(lines, settings), "line-pairs")
-    # texts are fetched for lines of pairs only
-    wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    wanted = F.broadcast(wanted) if fits(wanted, settings.max_broadcast) else wanted
-    texts = lines.join(wanted, "h1", "left_semi").groupBy("h1").agg(F.first("folded").alias("folded"))
-    known = texts.join(first.groupBy("h1").agg(F.min("first").alias("first")), "h1")
-    known = materialize(known.select("h1", "folded", "first"), "line-texts")
-    met = pairs.join(known.select(F.col("h1").alias("a"), F.col("folded").alias("x"), F.col("first").alias("fa")), "a")
-    met = met.join(known.select(F.col("h1").alias("b"), F.col("folded").alias("y"), F.col("first").alias("fb")), "b")
-    met = met.withColumn("x", F.split("x", "")).withColumn("y", F.split("y", ""))
+    equal = materialize(slim.join(small(again), ["h1", "h2"], "left_semi"), "equal-line-places")
+    first = materialize(equal.groupBy("h1", "h2").agg(F.min(place).alias("first")), "first-lines")
+    # many places of one line are on the left; on the right it is one row
+    repeats = equal.join(first, ["h1", "h2"]).where(place != F.col("first")).select("doc", "version", "line")
+
+    # each different line once, where it stands first
+    different = lines.join(small(first), ["h1", "h2"], "left").where(F.col("first").isNull() | (place == F.col("first")))
+    rows = materialize(segment_rows(different, settings), "segment-rows")
+    wanted = rows.select(F.col("id").alias("h1")).distinct()
+    texts = different.join(small(wanted), "h1", "left_semi")
+    texts = texts.select(F.col("h1").alias("id"), letter_counts().alias("counts"), F.split("folded", "").alias("letters"), place.alias("place"))
+    # of lines that share a segment only; written, so that a line is taken apart once and not for each of its letters
+    texts = materialize(texts.dropDuplicates(["id"]), "line-texts")
+    pairs = near_pairs(rows, texts.select("id", "counts"), settings)
+    met = pairs.join(texts.select(F.col("id").alias("a"), F.col("letters").alias("x"), F.col("place").alias("pa")), "a")
+    met = met.join(texts.select(F.col("id").alias("b"), F.col("letters").alias("y"), F.col("place").alias("pb")), "b")
     similar = met.where(within_edits(F.col("x"), F.col("y"), settings.edits))
-    late = similar.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("h1")).distinct()
-    first = first.join(late.withColumn("late", F.lit(True)), "h1", "left")
-    # equal lines are many rows of one key on the left; on the right a key is one row
-    judged = slim.join(first, ["h1", "h2"])
-    return judged.where(F.col("late").isNotNull() | (place != F.col("first"))).select("doc", "version", "line")
+    late = similar.select(F.when(F.col("pa") < F.col("pb"), F.col("pb")).otherwise(F.col("pa")).alias("place"))
+    return repeats.union(late.select("place.*")).distinct()
 
 
 def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -186,7 +217,7 @@ def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "tex
 def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``docs`` with texts without the removed lines, and ``n_lines`` and ``n_removed`` of each."""
     removed = removed_lines(docs.select(id, text), id, text, settings)
-    removed = removed.distinct().groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_of")).agg(
+    removed = removed.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_of")).agg(
         F.collect_list("line").alias("_gone")
     )
     keyed = docs.withColumn("_version", F.xxhash64(text))

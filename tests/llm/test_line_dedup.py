@@ -47,7 +47,7 @@ def brute(docs, settings):
     for text in docs:
         lines, keep = (text.split("\n") if text is not None else []), []
         for line in lines:
-            folded = line.strip(" \t\r").lower()
+            folded = line.strip(" ").lower()
             if len(folded) < settings.min_chars:
                 keep.append(line)
                 continue
