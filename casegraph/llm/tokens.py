@@ -33,7 +33,7 @@ class Encoder:
     the whole text. Other kinds of tokenizers get the whole text. Special tokens' strings are ordinary text.
     """
 
-    def __init__(self, path: str, max_remembered: int = 600_000):
+    def __init__(self, path: str, max_remembered: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
