@@ -61,6 +61,17 @@ def dense_index(df: DataFrame, key: str, name: str = "idx") -> DataFrame:
     return placed.join(offsets, "_part").select(key, (F.col("_o0") + F.col("_pos")).alias(name))
 
 
+def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """All rows with their 0-based place in the ascending ``order``; the places of equal rows are arbitrary, but fixed.
+
+    Equal rows are told apart by a hash of their number, so that many of them still fill several ranges.
+    """
+    salted = df.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    placed = _sorted_in_ranges(salted, [*order, "_salt"], "positions")
+    offsets = _with_offsets(placed, [F.count(F.lit(1))])
+    return placed.join(offsets, "_part").select(*df.columns, (F.col("_o0") + F.col("_pos")).alias(name))
+
+
 def prefix_sums(df: DataFrame, order: str, values: Sequence[str]) -> DataFrame:
     """``before_<value>``: sum of integer ``value`` over all rows with a smaller ``order``, which must be unique."""
     placed = _sorted_in_ranges(df, [order], "prefix")

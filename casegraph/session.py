@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -48,18 +49,38 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _tables: list[str] = []  # written by this process and not dropped yet
+_path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder; ``drop_tables`` deletes what is written there."""
+    path = f"{shared_folder(spark)}/casegraph-{name}-{uuid.uuid4().hex}"
+    _tables.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
 
 
 def drop_tables(spark: SparkSession) -> int:
     """Delete the intermediate tables this process wrote. DataFrames that read them cannot be used any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
     dropped = 0
     while _tables:
-        target = hadoop(_tables.pop())
-        dropped += bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
+        dropped += _delete(spark, _tables.pop())
     return dropped
 
 
+def drop_table(table: DataFrame) -> bool:
+    """Delete one table that ``materialize`` returned, as soon as nothing reads it any more."""
+    path = _path_of.pop(table, None)
+    if path is None or path not in _tables:
+        return False
+    _tables.remove(path)
+    return _delete(table.sparkSession, path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -67,10 +88,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     bounds, and survives the loss of executors because the files are on shared storage.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/casegraph-{name}-{uuid.uuid4().hex}"
-    _tables.append(path)
+    path = new_folder(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _path_of[table] = path
+    return table
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:

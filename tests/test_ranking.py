@@ -74,3 +74,23 @@ def test_undersample(spark, positives):
 def test_first_in_split(spark):
     df = rk.split_exact(spark.range(50), "id")
     assert rk.first_in_split(df, "id").first()["id"] == min(hash_sorted(range(50))[45:])
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_positions_number_repeated_rows_too(spark, settings, partitions):
+    settings("spark.sql.shuffle.partitions", str(partitions))
+    df = spark.range(3000).select((F.col("id") % 7 - 3).alias("k"), F.when(F.col("id") % 3 > 0, F.lit(9)).otherwise(F.col("id")).alias("v"))
+    got = sorted((r["position"], r["k"], r["v"]) for r in rk.positions(df, ["k", "v"]).collect())
+    assert [p for p, _, _ in got] == list(range(3000))
+    assert [(k, v) for _, k, v in got] == sorted((i % 7 - 3, 9 if i % 3 else i) for i in range(3000))
+
+
+def test_dropped_table_is_gone(spark):
+    import os
+
+    from casegraph.session import drop_table, materialize
+
+    table = materialize(spark.range(3), "short-lived")
+    folder = os.path.dirname(table.inputFiles()[0].removeprefix("file:"))
+    assert os.path.isdir(folder) and drop_table(table) and not os.path.exists(folder)
+    assert not drop_table(table) and not drop_table(spark.range(1))
