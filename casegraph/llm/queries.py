@@ -148,3 +148,69 @@ def html_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casegraph.llm.html_text import extract
 
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def _op11_sql() -> str:
+    """The ten rounds one after another; a row per vector and centroid in each."""
+    distance = "list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    floor_div = "(s - ((s % n) + n) % n) // n"
+    parts = [
+        """kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+             list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+             WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))))""",
+        """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), q) - 1 AS cluster, q
+             FROM kept ORDER BY sha256('3:' || vec_id), q LIMIT 8)""",
+    ]
+    for i in range(11):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (SELECT r, min(struct_pack(d := d, c := cluster)) AS best FROM
+                  (SELECT v.r, c.cluster, {distance}::BIGINT AS d FROM kept v, c{i} c) GROUP BY r)"""
+        )
+        if i < 10:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN
+                      (SELECT cluster, list({floor_div} ORDER BY p) AS q FROM
+                        (SELECT cluster, p, sum(x)::BIGINT AS s, count(*) AS n FROM
+                          (SELECT best.c AS cluster, unnest(q) AS x, generate_subscripts(q, 1) AS p FROM a{i} JOIN kept USING (r))
+                         GROUP BY cluster, p) GROUP BY cluster) m USING (cluster))"""
+            )
+    return (
+        "WITH "
+        + ", ".join(parts)
+        + """ SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+            (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+            sha256(array_to_string(c10.q, ',')) AS centroid_sha256
+            FROM a10 JOIN kept USING (r) JOIN c10 ON best.c = c10.cluster"""
+    )
+
+
+@query("op11_centroids", _op11_sql())
+def centroids_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm import centroids as ce
+
+    members = ce.with_inertia(ce.cluster_vectors(table(spark, sf_dir, "embeddings")))
+    return members.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query("op12_sharding")
+def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm import sharding as sd
+
+    shards = sd.shard_documents(table(spark, sf_dir, "documents"))
+    return shards.select(
+        "doc_id",
+        sd.text_size("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit(sd.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op13_resampling")
+def resampling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from casegraph.llm.resampling import resample
+
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resample(docs, target, keep=["doc_id"]).select("doc_id", "n_features", "weight", "score", "rank")
