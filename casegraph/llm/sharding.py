@@ -57,7 +57,7 @@ def shuffled_buckets(docs: DataFrame, id: str, n: int, seed: int) -> DataFrame:
     """``docs`` with ``bucket`` and ``place``: a random order of the records of each of ``n`` buckets."""
     numbered = docs.withColumn("place", F.monotonically_increasing_id())
     bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id), F.col("place")), F.lit(n))
-    scattered = numbered.withColumn("bucket", bucket.cast("int")).repartition(n, "bucket")
+    scattered = numbered.withColumn("bucket", bucket.cast("int")).repartitionById(n, F.col("bucket"))
     # the order before the shuffle is fixed too: fetched blocks arrive in any order
     sorted_ = scattered.sortWithinPartitions("bucket", "place")
     record = F.struct(*(F.col(c) for c in docs.columns)).alias("record")
