@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casegraph.functions import text as tx
+from casegraph.operators.automaton import build
 from casegraph.operators.cohort import drop_missing, restrict_wide
 from casegraph.session import fits
 
@@ -16,6 +20,7 @@ LIST_OF_KIND = {"symptom": "symptoms", "disease": "diseases", "medication": "med
 
 # A dictionary beyond this size is joined by shuffle instead of broadcast.
 MAX_BROADCAST_TERMS = 1_000_000
+MAX_BROADCAST_TOKENS = 5_000_000
 
 
 def select_notes(notes: DataFrame, cases: DataFrame, id_col: str = "hadm_id", text_col: str = "text") -> DataFrame:
@@ -28,15 +33,65 @@ def pending_notes(notes: DataFrame, done: DataFrame, id_col: str = "hadm_id", te
     return restrict_wide(notes, done, id_col, text_col, "left_anti")
 
 
+def _terms(dictionary: DataFrame) -> DataFrame:
+    """Different ``words, kind`` of the terms that have a token."""
+    return dictionary.select(tx.tokens(F.col("term")).alias("words"), "kind").where(F.size("words") > 0).distinct()
+
+
 def dictionary_mentions(
     notes: DataFrame, dictionary: DataFrame, id_col: str = "hadm_id", text_col: str = "text"
 ) -> DataFrame:
     """Occurrences of the ``(term, kind)`` rows of ``dictionary`` in the whole text of each note.
 
-    Result: id, term, kind and ``n`` occurrences. A term is a run of tokens of any length. At each
-    token the runs of all lengths that the dictionary has are looked up as whole terms, in the
-    stage that produces the tokens; only matches, already counted per task, are shuffled.
+    Result: id, term, kind and ``n`` occurrences. A term is a run of tokens of any length; overlapping occurrences all
+    count. An automaton reads each note once, in the stage that produces the tokens; only matches, already counted per
+    batch, are shuffled. A dictionary too large to be sent to every task (a checked size) is joined instead.
     """
+    terms = _terms(dictionary)
+    size = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("words")).alias("tokens")).first()
+    if size["n"] > MAX_BROADCAST_TERMS or (size["tokens"] or 0) > MAX_BROADCAST_TOKENS:
+        return joined_mentions(notes, dictionary, id_col, text_col)
+    kinds: dict[tuple[str, ...], list[str]] = {}
+    for row in terms.collect():
+        kinds.setdefault(tuple(row["words"]), []).append(row["kind"])
+    found = _automaton_counts(notes.select(F.col(id_col).alias("id"), tx.tokens(F.col(text_col)).alias("tokens")), kinds)
+    return found.withColumnRenamed("id", id_col).groupBy(id_col, "term", "kind").agg(F.sum("n").alias("n"))
+
+
+def _automaton_counts(tokens: DataFrame, kinds: dict[tuple[str, ...], list[str]]) -> DataFrame:
+    """``id, term, kind, n`` of the notes ``id, tokens``, counted per note and batch."""
+    words = sorted(kinds)
+    # a term once for each of its kinds
+    rows = [(" ".join(w), kind) for w in words for kind in kinds[w]]
+    per_term = np.array([len(kinds[w]) for w in words], dtype=np.int64)
+    sent = tokens.sparkSession.sparkContext.broadcast((build(words), rows, per_term))
+    schema = f"id {tokens.schema['id'].dataType.simpleString()}, term string, kind string, n bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, named, repeats = sent.value
+        names, groups = (pa.array([r[i] for r in named], type=pa.string()) for i in (0, 1))
+        first = np.cumsum(repeats) - repeats
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten()
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            note = np.repeat(np.arange(len(lists)), sizes)
+            note, term = automaton.find(automaton.number(flat), note)
+            pairs, n = np.unique(note * max(len(repeats), 1) + term, return_counts=True)
+            note, term = pairs // max(len(repeats), 1), pairs % max(len(repeats), 1)
+            times = repeats[term]
+            row = np.repeat(first[term], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            columns = [batch.column(0).take(pa.array(np.repeat(note, times))), names.take(pa.array(row)), groups.take(pa.array(row))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.repeat(n, times))], names=["id", "term", "kind", "n"])
+
+    return tokens.mapInArrow(run, schema)
+
+
+def joined_mentions(
+    notes: DataFrame, dictionary: DataFrame, id_col: str = "hadm_id", text_col: str = "text"
+) -> DataFrame:
+    """As ``dictionary_mentions``, for dictionaries of any size: runs of all lengths that the dictionary has are looked up
+    as whole terms, by a join."""
     words = tx.tokens(F.col("term"))
     terms = dictionary.select(F.array_join(words, " ").alias("term"), F.size(words).alias("_size"), "kind")
     terms = terms.where(F.col("_size") > 0).distinct()

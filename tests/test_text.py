@@ -1,4 +1,6 @@
+import random
 import sys
+from collections import Counter
 
 import pytest
 from pyspark import cloudpickle
@@ -152,3 +154,33 @@ def test_long_terms_and_many_terms_with_one_first_word(spark):
         ("acute on chronic renal failure", 1), ("renal failure", 1), ("a b c d e f g h", 1), ("acute x17", 2), ("acute x4999", 1)
     }
     assert en.dictionary_mentions(notes, dictionary.limit(0)).count() == 0
+
+
+def test_automaton_finds_long_and_overlapping_terms(spark):
+    rng = random.Random(5)
+    letters = [f"w{i}" for i in range(6)]
+    terms = {tuple(rng.choice(letters) for _ in range(rng.randrange(1, 6))) for _ in range(60)}
+    terms |= {tuple(rng.choice(letters[:2]) for _ in range(n)) for n in (40, 41, 300)} | {("w0",) * n for n in range(1, 8)}
+    texts = [" ".join(rng.choice([*letters, "other"]) for _ in range(rng.randrange(0, 200))) for _ in range(40)]
+    texts += ["other ".join(" ".join(t) + " " for t in terms), "w0 " * 3000, "", None, "w0"]
+    kinds = {t: ["symptom", "disease"][: 1 + i % 2] for i, t in enumerate(sorted(terms))}
+    rows = [(" ".join(t), kind) for t in kinds for kind in kinds[t]]
+    notes = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(3, "w0 w1"), (None, "w0")], "hadm_id long, text string")
+    dictionary = spark.createDataFrame(rows + rows[:5] + [("...", "symptom")], "term string, kind string")
+    want = Counter()
+    for r in notes.collect():
+        words = (r.text or "").split()
+        for t in terms:
+            n = sum(tuple(words[i : i + len(t)]) == t for i in range(len(words) - len(t) + 1))
+            for kind in kinds[t] if n else []:
+                want[(r.hadm_id, " ".join(t), kind)] += n
+    got = {(r.hadm_id, r.term, r.kind): r.n for r in en.dictionary_mentions(notes, dictionary).collect()}
+    assert got == dict(want)
+
+
+def test_large_dictionaries_are_joined(spark, monkeypatch):
+    notes = spark.createDataFrame([(1, "Acute renal failure, renal failure"), (2, None)], "hadm_id long, text string")
+    dictionary = spark.createDataFrame([("renal failure", "disease"), ("acute", "symptom")], "term string, kind string")
+    want = sorted(map(tuple, en.dictionary_mentions(notes, dictionary).collect()))
+    monkeypatch.setattr(en, "MAX_BROADCAST_TERMS", 1)
+    assert sorted(map(tuple, en.dictionary_mentions(notes, dictionary).collect())) == want
