@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegraph.functions.vectors import squared_l2
@@ -12,8 +13,10 @@ from casegraph.operators import knn
 from casegraph.operators import metrics as me
 from casegraph.operators import model as mo
 from casegraph.operators import ranking as rk
+from casegraph.operators import training as tr
+from casegraph.operators import vector_index as vi
 from casegraph.plans import stages
-from casegraph.session import materialize
+from casegraph.session import materialize, new_folder
 from workload.cohort_queries import features
 from workload.graph_queries import graph
 from workload.registry import joined, q, q_sql, query
@@ -80,7 +83,7 @@ def evaluated(t: Tables) -> stages.Evaluation:
 
 
 @query(
-    "mortality_model",
+    "class_rate_model",
     # Without regularisation on the one-hot insurance, the optimum is the weighted rate of each insurance.
     with_ctes(
         "adm",
@@ -111,7 +114,7 @@ _MARGIN = f"{_BIAS} + " + " + ".join(f"({w}::DOUBLE) * {c}" for w, c in zip(_WEI
 
 
 @query(
-    "predictions",
+    "linear_scores",
     with_ctes(
         "feat",
         f"""SELECT hadm_id, {q_sql('p', 6)} AS prob, (p >= 0.5)::INTEGER AS pred
@@ -124,6 +127,95 @@ def _(t: Tables):
     return scored.select("hadm_id", q(F.col("prob"), 6).alias("prob"), "pred")
 
 
+# Few and large steps: their outcome is compared with SQL, step by step.
+SCHEDULE = tr.Schedule(epochs=6, learning_rate=0.1, every=2)
+
+
+def epoch_training(t: Tables) -> tuple[tr.Trained, DataFrame]:
+    """All 13 features, scaled by the training rows; balanced training rows, the best epoch by validation area."""
+    raw = materialize(features(t).join(fe.labels(t.admissions), "hadm_id"), "training-features")
+    parted = rk.split_exact(raw, "hadm_id")
+    scaler = fe.fit_scaler(parted.where("split = 'train'"), fe.FEATURES)
+    rows = parted.select("hadm_id", "label", "split", F.array(*scaler.scaled()).alias("features"))
+    rows = materialize(rows, "training-examples")
+    balanced = rk.undersample(rows.where("split = 'train'"), "hadm_id", "label")
+    return tr.train_epochs(balanced, rows.where("split = 'val'"), SCHEDULE), rows
+
+
+def _training_ctes() -> dict[str, str]:
+    """The same steps in SQL: a state of weights and moments (the intercept last) per epoch."""
+    n = len(fe.FEATURES) + 1
+
+    def zipped(a: str, b: str, body: str) -> str:
+        return f"list_transform(list_zip({a}, {b}), lambda z: {body})"
+
+    margin = f"list_sum({zipped('x', 'w', 'z[1] * z[2]')})"
+    scaled = ", ".join(f"(f.{c} - m_{c}) / coalesce(nullif(s_{c}, 0), 1)" for c in fe.FEATURES)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in fe.FEATURES)
+    zeros = "[" + ", ".join(["0::DOUBLE"] * n) + "]"
+    ctes = {
+        "numbered": """SELECT f.*, a.hospital_expire_flag AS label, count(*) OVER () AS total,
+            row_number() OVER (ORDER BY md5(f.hadm_id || '|42'), f.hadm_id) AS rn FROM feat f JOIN adm a ON f.hadm_id = a.hadm_id""",
+        "parted": "SELECT *, CASE WHEN rn <= floor(0.8 * total) THEN 'train' WHEN rn <= floor(0.9 * total) THEN 'val' ELSE 'test' END AS split FROM numbered",
+        "stats": f"SELECT {stats} FROM parted WHERE split = 'train'",
+        "examples": f"SELECT f.hadm_id, label, split, [{scaled}, 1::DOUBLE] AS x FROM parted f, stats",
+        "placed": """SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(hadm_id || '|42'), hadm_id) AS place,
+            sum(label) OVER () AS positives FROM examples WHERE split = 'train'""",
+        "balanced": "SELECT label, x, CASE WHEN label = 1 THEN 1.5::DOUBLE ELSE 1::DOUBLE END AS c FROM placed WHERE label = 1 OR place <= 2 * positives",
+        "s0": f"SELECT {zeros} AS w, {zeros} AS m, {zeros} AS v",
+    }
+    evaluated = []
+    for e in range(1, SCHEDULE.epochs + 1):
+        sums = ", ".join(f"sum(c * (p - label) * x[{j}]) / sum(c)" for j in range(1, n + 1))
+        ctes[f"g{e}"] = f"""SELECT [{sums}] AS g, -sum(c * ln(CASE WHEN label = 1 THEN p ELSE 1 - p END)) / sum(c) AS loss
+            FROM (SELECT label, x, c, 1 / (1 + exp(-{margin})) AS p FROM balanced, s{e - 1})"""
+        ctes[f"d{e}"] = f"SELECT w, m, v, {zipped('g', 'w', f'z[1] + {SCHEDULE.weight_decay}::DOUBLE * z[2]')} AS g FROM g{e}, s{e - 1}"
+        ctes[f"u{e}"] = f"""SELECT w, {zipped('m', 'g', '0.9::DOUBLE * z[1] + (1 - 0.9::DOUBLE) * z[2]')} AS m,
+            {zipped('v', 'g', '0.999::DOUBLE * z[1] + (1 - 0.999::DOUBLE) * z[2] * z[2]')} AS v FROM d{e}"""
+        move = f"""{SCHEDULE.learning_rate}::DOUBLE * (z[1] / (1 - pow(0.9::DOUBLE, {e}))) / (sqrt(z[2] / (1 - pow(0.999::DOUBLE, {e}))) + 1e-8::DOUBLE)"""
+        ctes[f"s{e}"] = f"SELECT {zipped('w', zipped('m', 'v', move), 'z[1] - z[2]')} AS w, m, v FROM u{e}"
+        if e % SCHEDULE.every == 0:
+            ctes[f"val{e}"] = f"SELECT label, 1 / (1 + exp(-{margin})) AS p FROM examples, s{e} WHERE split = 'val'"
+            evaluated.append(
+                f"""SELECT {e} AS epoch, loss, w, (SELECT sum(CASE WHEN a.p > b.p THEN 1::DOUBLE WHEN a.p = b.p THEN 0.5 ELSE 0 END) / count(*)
+                    FROM val{e} a, val{e} b WHERE a.label = 1 AND b.label = 0) AS val_auc FROM g{e}, s{e}"""
+            )
+    ctes["evaluated"] = " UNION ALL ".join(evaluated)
+    ctes["best"] = "SELECT w FROM evaluated ORDER BY coalesce(val_auc, 0) DESC, epoch LIMIT 1"
+    return ctes
+
+
+@query(
+    "mortality_model",
+    with_ctes(
+        "adm feat",
+        f"""SELECT epoch, {q_sql('loss', 6)} AS loss, {q_sql('val_auc', 6)} AS val_auc,
+            coalesce(val_auc, 0) > coalesce(max(coalesce(val_auc, 0)) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS best
+            FROM evaluated""",
+        **_training_ctes(),
+    ),
+)
+def _(t: Tables):
+    trained, _ = epoch_training(t)
+    rows = t.spark.createDataFrame(trained.history, "epoch int, loss double, val_auc double, best boolean")
+    return rows.select("epoch", q(F.col("loss"), 6).alias("loss"), q(F.col("val_auc"), 6).alias("val_auc"), "best")
+
+
+@query(
+    "predictions",
+    with_ctes(
+        "adm feat",
+        f"""SELECT hadm_id, split, {q_sql('p', 6)} AS prob, (p >= 0.5)::INTEGER AS pred FROM
+            (SELECT hadm_id, split, 1 / (1 + exp(-list_sum(list_transform(list_zip(x, w), lambda z: z[1] * z[2])))) AS p FROM examples, best)""",
+        **_training_ctes(),
+    ),
+)
+def _(t: Tables):
+    trained, rows = epoch_training(t)
+    scored = mo.score(trained.model, rows)
+    return scored.select("hadm_id", "split", q(F.col("prob"), 6).alias("prob"), "pred")
+
+
 # ---- retrieval
 
 
@@ -150,6 +242,29 @@ def _(t: Tables):
     return found.withColumn("distance", q(F.col("distance")))
 
 
+def _index(t: Tables) -> vi.VectorIndex:
+    return vi.build_index(t.embeddings, new_folder(t.spark, "vector-index"), "hadm_id")
+
+
+@query(
+    "knn_pruned", with_ctes("near", f"SELECT query_id, neighbor_id, rank::INTEGER AS rank, {q_sql('distance')} AS distance FROM near")
+)
+def _(t: Tables):
+    found = vi.search_exact(t.embeddings, _index(t), 5, "hadm_id")
+    return found.withColumn("distance", q(F.col("distance")))
+
+
+@query(
+    "knn_index",
+    with_ctes("near", "SELECT count(*) AS n_neighbors, TRUE AS recall_reached FROM near WHERE query_id % 50 = 0"),
+)
+def _(t: Tables):
+    queries = t.embeddings.where("hadm_id % 50 = 0")
+    exact = knn.nearest(queries, t.embeddings, 5, "hadm_id")
+    found = vi.recall(vi.search(queries, _index(t), 5, "hadm_id"), exact)
+    return found.select("n_neighbors", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 @query(
     "l2_distance",
     f"""SELECT a.vec_id AS id, {q_sql('list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) ** 2')} AS distance
