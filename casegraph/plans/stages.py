@@ -24,6 +24,7 @@ from casegraph.operators import ranking as rk
 from casegraph.operators.report import funnel
 from casegraph.session import at_once, materialize
 from casegraph.sources import sinks
+from casegraph.sources.merged import MergedTable, merge_rows, read_merged
 from casegraph.sources.readers import scan_parquet, scan_table
 from casegraph.sources.schemas import DataLayout
 
@@ -168,6 +169,31 @@ def build_case_graph(tables: CaseTables, entities: DataFrame, multiplicity: str
     return graph, gr.validate_graph(graph)
 
 
+# Identity of nodes and edges, and the properties that a later batch sets anew.
+def _merged_tables(folder: str, buckets: int) -> dict[tuple[str, str], MergedTable]:
+    found = {("nodes", name): MergedTable(f"{folder}/nodes/{name}", (key,), buckets=buckets) for name, key in gr.NODE_KEYS.items()}
+    for name, (source, target) in gr.EDGE_ENDS.items():
+        keys = (gr.NODE_KEYS[source], gr.NODE_KEYS[target], *(("starttime",) if name == "PRESCRIBED" else ()))
+        overwrite = ("mean_value", "std_value") if name == "HAS_LAB" else ()
+        found["edges", name] = MergedTable(f"{folder}/edges/{name}", keys, overwrite, buckets)
+    return found
+
+
+def merge_graph(graph: gr.CaseGraph, folder: str, buckets: int = 64) -> None:
+    """Merge a batch of cases into the stored graph: nodes and edges that are new are added, those that are known keep
+    their properties, and lab edges take the values of the batch. Only buckets with a key of the batch are rewritten."""
+    tables = {"nodes": graph.nodes, "edges": graph.edges}
+    merged = _merged_tables(folder, buckets)
+    at_once([lambda kind=kind, name=name, t=t: merge_rows(tables[kind][name], t) for (kind, name), t in merged.items() if name in tables[kind]])
+
+
+def read_graph(spark: SparkSession, folder: str) -> gr.CaseGraph:
+    """The stored graph, all batches together."""
+    found = {place: read_merged(spark, t) for place, t in _merged_tables(folder, 64).items()}
+    of = {kind: {name: rows for (k, name), rows in found.items() if k == kind and rows is not None} for kind in ("nodes", "edges")}
+    return gr.CaseGraph(of["nodes"], of["edges"])
+
+
 @dataclass(frozen=True)
 class TrainingGraph:
     """Standardised features, labels, split and integer-indexed edges."""

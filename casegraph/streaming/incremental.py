@@ -1,10 +1,12 @@
 """Entity extraction over notes that keep arriving.
 
-The stream reads new note files, extracts mentions, and stores one folder per batch.
-A batch that is replayed after a failure overwrites its own folder, and the view over all
-batches is a set union, so every note counts once whatever is repeated. Stored batches are
-never rewritten; a batch reads the hashes of earlier notes, but neither their text nor their
-entities.
+The stream reads new note files, drops notes it has seen before, extracts mentions, and stores one folder per batch.
+Which notes were seen is state of the stream (a hash per note, in the state store, by its checkpoint): no batch reads
+what earlier ones stored. A batch that is replayed after a failure starts from the state before it and overwrites its own
+folder, and the view over all batches is a set union, so every note counts once whatever is repeated.
+
+The state grows by a hash per different note. With ``RECOMMENDED_CONF`` it is kept by RocksDB on the executors' disks
+and copied to the checkpoint; its number of partitions is that of ``spark.sql.shuffle.partitions`` at the first start.
 """
 
 from __future__ import annotations
@@ -35,37 +37,26 @@ def start_extraction(
 ) -> StreamingQuery:
     """Process all note files that are new since the last run, then stop.
 
-    ``extract`` maps notes (hadm_id, text) to mentions (hadm_id, term, kind). A note whose
-    text was stored for the same case before is skipped. Progress is in ``checkpoint_dir``;
-    both it and ``store_dir`` must be on shared storage.
+    ``extract`` maps notes (hadm_id, text) to mentions (hadm_id, term, kind). A note whose text came for the same case
+    before is skipped. Progress and state are in ``checkpoint_dir``; both it and ``store_dir`` must be on shared storage.
     """
     reader = spark.readStream.schema(NOTE_SCHEMA)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     incoming = reader.parquet(notes_dir).where(F.col("hadm_id").isNotNull() & F.col("text").isNotNull())
+    fresh = incoming.withColumn("note_hash", note_hash()).dropDuplicates(["note_hash"])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        keyed = batch.withColumn("note_hash", note_hash()).dropDuplicates(["note_hash"])
-        keyed = keyed.withColumn("bucket", F.substring("note_hash", 1, 2))
-        earlier = read_done(session, store_dir)
-        if earlier is not None:
-            # Only batches before this one: its own leftovers from a failed try do not count.
-            # The history is stored by the first digits of the hash; only the digits that this batch has are read.
-            buckets = [r["bucket"] for r in keyed.select("bucket").distinct().collect()]  # 256 at most
-            seen = earlier.where((F.col("batch") < batch_id) & F.col("bucket").isin(buckets)).select("note_hash")
-            keyed = keyed.join(seen, "note_hash", "left_anti")
-        keyed = keyed.persist()
+        batch = batch.persist()
         try:
-            sets = complete_entity_sets(entity_sets(extract(keyed.select("hadm_id", "text"))), keyed)
+            sets = complete_entity_sets(entity_sets(extract(batch.select("hadm_id", "text"))), batch)
             sets.write.mode("overwrite").parquet(f"{store_dir}/entities/batch={batch_id}")
-            done = keyed.select("hadm_id", "note_hash", "bucket").write.mode("overwrite").partitionBy("bucket")
-            done.parquet(f"{store_dir}/done/batch={batch_id}")
+            batch.select("hadm_id", "note_hash").write.mode("overwrite").parquet(f"{store_dir}/done/batch={batch_id}")
         finally:
-            keyed.unpersist()
+            batch.unpersist()
 
     return (
-        incoming.writeStream.foreachBatch(store)
+        fresh.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
@@ -82,7 +73,7 @@ def read_done(spark: SparkSession, store_dir: str) -> DataFrame | None:
     path = f"{store_dir}/done"
     if not _exists(spark, path):
         return None
-    return spark.read.schema("hadm_id bigint, note_hash string, batch bigint, bucket string").parquet(path)
+    return spark.read.schema("hadm_id bigint, note_hash string, batch bigint").parquet(path)
 
 
 def read_entities(spark: SparkSession, store_dir: str) -> DataFrame:

@@ -199,3 +199,35 @@ def test_incremental_extraction(spark, tmp_path):
     batch = {r["hadm_id"]: tuple(r)[1:] for r in en.entity_sets(en.dictionary_mentions(everything, dictionary)).collect()}
     assert final == batch
     assert incremental.read_done(spark, store).count() == 4
+
+
+def test_stream_forgets_nothing_and_reads_no_history(spark, tmp_path):
+    """A batch that fails is replayed; later batches know its notes though what it stored is gone."""
+    import shutil
+
+    dictionary = spark.createDataFrame(TERMS, "term string, kind string")
+    inbox, store, checkpoint = (str(tmp_path / n) for n in ("inbox", "store", "checkpoint"))
+    seen, fail = [], [True]
+
+    def extract(notes):
+        if fail and fail.pop():
+            raise RuntimeError("lost")
+        seen.append(sorted(r["hadm_id"] for r in notes.collect()))
+        return en.dictionary_mentions(notes, dictionary)
+
+    def arrive(rows):
+        spark.createDataFrame(rows, incremental.NOTE_SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+
+    def run():
+        incremental.start_extraction(spark, inbox, store, checkpoint, extract).awaitTermination()
+
+    arrive([(1, "fever"), (2, "cough"), (1, "fever")])
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    assert seen == [[1, 2]]
+    shutil.move(f"{store}/done", f"{store}/moved")
+    arrive([(1, "fever"), (3, "flu"), (2, "cough")])
+    run()
+    assert seen == [[1, 2], [3]]
+    assert {r["hadm_id"] for r in incremental.read_entities(spark, store).collect()} == {1, 2, 3}

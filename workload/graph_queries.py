@@ -13,7 +13,8 @@ from casegraph.operators import features as fe
 from casegraph.operators import graph as gr
 from casegraph.operators import propagate as pr
 from casegraph.operators import ranking as rk
-from casegraph.session import materialize
+from casegraph.plans import stages
+from casegraph.session import materialize, new_folder
 from workload.cohort_queries import STANDARDIZED_SQL, standardized
 from workload.registry import joined, q, q_sql, query
 from workload.tables import Tables, with_ctes
@@ -50,6 +51,34 @@ _LONG_SQL = " UNION ALL ".join(
 )
 
 
+def merged_graph(t: Tables) -> gr.CaseGraph:
+    """The graph of all cases, merged from those with even and then those with odd numbers."""
+    folder = new_folder(t.spark, "merged-graph")
+    admissions = materialize(t.admissions, "admissions")
+    for odd in (0, 1):
+        batch = admissions.where(F.col("hadm_id") % 2 == odd)
+        stages.merge_graph(gr.build_graph(batch, t.patients, t.diagnoses, t.procedures, t.prescriptions, t.labs), folder, 8)
+    return stages.read_graph(t.spark, folder)
+
+
+@query("merged_edges", with_ctes("adm diag proc presc labs lab_edge", _LONG_SQL))
+def _(t: Tables):
+    return gr.long_edges(merged_graph(t).edges)
+
+
+@query(
+    "merged_diagnoses",
+    # the version that the first batch wrote stays
+    with_ctes(
+        "adm diag",
+        f"""SELECT icd_code, coalesce(min(icd_version) FILTER (hadm_id % 2 = 0), min(icd_version)) AS icd_version
+            FROM diag {_KNOWN} GROUP BY icd_code""",
+    ),
+)
+def _(t: Tables):
+    return merged_graph(t).nodes["Diagnosis"]
+
+
 @query("nodes_patient", with_ctes("adm pat", _NODE_SQL["Patient"]))
 def _(t: Tables):
     return gr.patient_nodes(t.admissions, t.patients)
