@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``df`` with columns called like one of ``names`` under other names, and the way back to the columns of ``df``."""
     taken = {n.lower() for n in names}
-    moved = {c: f"_own_{c}" for c in df.columns if c.lower() in taken}
+    prefix = "_own_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "own_"
+    moved = {c: prefix + c for c in df.columns if c.lower() in taken}
     columns = df.columns
 
     def restore(result: DataFrame) -> DataFrame:

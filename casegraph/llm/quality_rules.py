@@ -128,7 +128,7 @@ def join_verdicts(ruled: DataFrame, verdicts: DataFrame, host: str, max_broadcas
 def keep_documents(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, with their own columns."""
     verdicts = host_verdicts(with_rules(docs, limits, keep=[host]), host, limits)
-    made = [f.name for f in StructType.fromDDL(COUNTS)] + ["base_failed", "doc_failed", "failed", "kept"]
+    made = [f.name for f in StructType.fromDDL(COUNTS)] + ["base_failed", "doc_failed", "failed", "kept", "_host", "_bad"]
     aside, restore = set_aside(docs, made)
     # the text's rules are computed again rather than shuffled or stored with the texts
     return restore(join_verdicts(with_rules(aside, limits), verdicts, host).where("kept"))

@@ -230,8 +230,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", bud
     )
 
 
-def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", max_broadcast: int = 2_000_000) -> DataFrame:
+def keep_first(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", budget: int = 3, max_broadcast: int = 2_000_000
+) -> DataFrame:
     """One document of each group: the one with the smallest id. Rows with the same id stay or go together."""
-    classes = materialize(near_duplicates(docs, id, text), "near-duplicates")
+    classes = materialize(near_duplicates(docs, id, text, budget), "near-duplicates")
     gone = classes.where(F.col(id) != F.col("component_id")).select(id).distinct()
     return docs.join(F.broadcast(gone) if fits(gone, max_broadcast) else gone, id, "left_anti").select(*docs.columns)

@@ -41,6 +41,11 @@ def test_automaton_is_the_edit_distance(spark, edits):
     assert all(r.near == (distance(r.a, r.b) <= edits) for r in got)
 
 
+def near_lines(a, b, settings):
+    edits = min(settings.edits, min(len(a), len(b)) // settings.chars_per_edit)
+    return abs(len(a) - len(b)) <= edits and edits > 0 and distance(a, b) <= edits
+
+
 def brute(docs, settings):
     """Text, lines and removed lines of each document, documents in order."""
     seen, first_of, out = [], {}, []
@@ -48,14 +53,11 @@ def brute(docs, settings):
         lines, keep = (text.split("\n") if text is not None else []), []
         for line in lines:
             folded = line.strip(" ").lower()
-            if len(folded) < settings.min_chars:
+            if not folded:
                 keep.append(line)
                 continue
             equal = folded in first_of
-            near = not equal and len(folded) >= settings.min_near_chars and any(
-                len(s) >= settings.min_near_chars and abs(len(s) - len(folded)) <= settings.edits and distance(s, folded) <= settings.edits
-                for s in seen
-            )
+            near = not equal and any(near_lines(s, folded, settings) for s in seen)
             if not equal:
                 first_of[folded] = 1
                 seen.append(folded)
@@ -65,11 +67,11 @@ def brute(docs, settings):
     return out
 
 
-@pytest.mark.parametrize("edits", [1, 2])
+@pytest.mark.parametrize("edits", [0, 2, 3])
 def test_matches_brute_force(spark, edits):
     rng = random.Random(9)
     settings = ld.Settings(edits=edits)
-    base = ["".join(rng.choice("abcdeé ") for _ in range(rng.randrange(38, 70))) for _ in range(25)] + ["short one", "Exactly repeated here"]
+    base = ["".join(rng.choice("abcdeé ") for _ in range(rng.randrange(15, 70))) for _ in range(40)] + ["short one", "a", " ", "Exactly repeated here"]
     docs = []
     for i in range(60):
         lines = [edited(rng, rng.choice(base), rng.randrange(0, 5)) for _ in range(rng.randrange(1, 5))]
@@ -89,3 +91,31 @@ def test_copies_can_be_left_whole(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = ld.dedup_lines(frame, settings=ld.Settings(max_loss=0.5)).collect()
     assert sorted((str(r.doc_id), r.n_removed) for r in got) == [("1", 0), ("2", 0), ("2", 0), ("3", 1), ("None", 0)]
+
+
+def test_many_near_lines_make_few_pairs(spark):
+    """200 lines within two edits of each other: 199 go, by a pair each."""
+    line = "A line that stands in very many documents, with another number in each of them:"
+    frame = spark.createDataFrame([(i, line + chr(97 + i % 26) + chr(97 + i // 26)) for i in range(200)], "doc_id long, text string")
+    lines = ld.lines_of(frame, "doc_id", "text")
+    rows = ld.segment_rows(lines, ld.Settings())
+    texts = lines.select(
+        F.col("h1").alias("id"), F.struct("doc", "version", "line").alias("at"), ld.letter_counts().alias("counts"), F.split("folded", "").alias("letters")
+    )
+    pairs = ld.near_pairs(rows, texts, ld.Settings())
+    assert pairs.count() < 600
+    late = ld.verified(pairs, texts, ld.Settings())
+    assert late.count() == 199 and ld.near_pairs(rows, texts, ld.Settings(), late).count() == 0
+
+
+def test_columns_with_internal_names(spark):
+    names = "_version _gone _doc _of _kept _cut _row row id hash gone kept doc version line at n_lines n_removed text_ key place".split()
+    own = {n: i for i, n in enumerate(names)}
+    frame = spark.createDataFrame(
+        [(i, "The same line in both of the documents.", *own.values()) for i in (1, 2)], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names)
+    )
+    got = ld.without_repeated_lines(frame)
+    assert got.columns == frame.columns
+    rows = {r.doc_id: r.asDict() for r in got.collect()}
+    assert rows[1] == {"doc_id": 1, "text": "The same line in both of the documents."} | own
+    assert rows[2] == {"doc_id": 2, "text": ""} | own
