@@ -4,19 +4,14 @@ from __future__ import annotations
 
 import os
 import sys
-from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
-from casegraph.llm import decontaminate, line_dedup, near_copies, packing, quality_rules  # noqa: E402
-from casegraph.llm.columns import set_aside, with_length  # noqa: E402
-from casegraph.session import fits, materialize  # noqa: E402
-
-#: A document that would lose more may be a copy, for the next stage to drop as a whole; whether it is one is checked.
-LINES = line_dedup.Settings(max_loss=0.5)
+from casegraph.llm import decontaminate, line_dedup, packing, quality_rules, simhash  # noqa: E402
+from casegraph.llm.columns import with_length  # noqa: E402
+from casegraph.session import drop_table, materialize  # noqa: E402
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,26 +20,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand in an earlier document, or earlier in the same, go.
-
-    Only near-copies of an earlier document as it is after this stage stay whole: the next stage drops each of them.
-    """
-    aside, restore = set_aside(docs, ["n_lines", "n_removed", "_row", "_whole", "_heavy", "_judged"])
-    cut = line_dedup.dedup_lines(aside.withColumn("_whole", F.col("text")), settings=replace(LINES, max_loss=1.0))
-    lost = F.char_length("_whole") - F.char_length("text")
-    cut = cut.withColumn("_heavy", F.coalesce(lost > LINES.max_loss * F.char_length("_whole"), F.lit(False)))
-    cut = cut.withColumn("_whole", F.when(F.col("_heavy"), F.col("_whole"))).withColumn("_row", F.monotonically_increasing_id())
-    cut = materialize(cut, "cut-documents")
-    judged = cut.withColumn("_judged", F.coalesce("_whole", "text"))
-    copies = near_copies.earlier_copies(judged, "doc_id", "_judged", "_heavy").withColumn("_copy", F.lit(True))
-    copies = F.broadcast(copies) if fits(copies, 2_000_000) else copies
-    cut = cut.join(copies, "_row", "left")
-    return with_length(restore(cut.withColumn("text", F.when(F.col("_copy"), F.col("_whole")).otherwise(F.col("text")))))
+    """Lines that stand in an earlier document, or earlier in the same, go."""
+    return with_length(line_dedup.without_repeated_lines(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays that five-word shingles of a similarity of 0.8 or more connect."""
-    return near_copies.keep_one(docs)
+    """One document of each group stays whose fingerprints link: three-word shingles, three bits."""
+    return simhash.keep_first(docs, budget=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +54,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = materialize(docs, name.lower().replace(" ", "-"))
+            drop_table(before)  # the next stage reads what this one wrote
     return docs
