@@ -44,6 +44,8 @@ class Settings:
 
 #: Letters whose counts are compared.
 LETTERS = "etnoairshdlucmpg"
+#: Code of each count: ones move in from below, then out again, so that the distance in bits is that round the ring of 8.
+RING = [(1 << n) - 1 if n <= 4 else 15 & ~((1 << (n - 4)) - 1) for n in range(8)]
 
 
 def lines_of(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -96,23 +98,19 @@ def segment_keys(lines: DataFrame, settings: Settings) -> DataFrame:
 
 
 def letter_counts() -> Column:
-    """Counts of some letters, modulo 16, four bits each."""
+    """Counts of some letters, modulo 8, four bits each: a ring code, in which neighbouring counts differ in one bit."""
 
     def add(total: Column, letter: Column) -> Column:
         count = F.col("chars") - F.char_length(F.replace(F.col("folded"), letter, F.lit("")))
-        return F.shiftleft(total, 4).bitwiseOR((count % 16).cast("long"))
+        code = F.element_at(F.array(*(F.lit(v).cast("long") for v in RING)), (count % 8 + 1).cast("int"))
+        return F.shiftleft(total, 4).bitwiseOR(code)
 
     return F.aggregate(F.array(*(F.lit(c) for c in LETTERS)), F.lit(0).cast("long"), add)
 
 
 def counts_differ(a: str, b: str) -> Column:
     """A lower bound of the sum of differences of the counts."""
-    total = F.lit(0).cast("long")
-    for k in range(len(LETTERS)):
-        count_a, count_b = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(15) for c in (a, b))
-        gap = (count_a - count_b).bitwiseAND(15)
-        total = total + F.least(gap, 16 - gap)
-    return total
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -177,17 +175,22 @@ def segment_rows(lines: DataFrame, settings: Settings) -> DataFrame:
     return kept
 
 
-def near_pairs(rows: DataFrame, texts: DataFrame, settings: Settings, late: DataFrame | None = None) -> DataFrame:
+def with_first(rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Segment rows with their lines' ``at`` and ``counts``, the ``edits`` of the place, and ``first``, the earliest line
+    that has the segment; ``texts`` are ``id, at, counts``."""
+    rows = rows.join(texts.select("id", "at", "counts"), "id")
+    first = rows.groupBy("key").agg(F.min(F.struct("at", "id", "counts")).alias("first"))
+    edits = F.element_at(F.array(*(F.lit(place[0]) for place in all_places(settings))), F.col("place") + 1)
+    return rows.withColumn("edits", edits).join(first, "key")
+
+
+def near_pairs(rows: DataFrame, settings: Settings, late: DataFrame | None = None) -> DataFrame:
     """Pairs ``b, a, edits`` of ids of lines that may be within so many edits, ``a`` earlier, each pair once.
 
     Without ``late``: each line and the first line that has one of its segments. With it: all other pairs of which the later
-    line is not in ``late``. ``texts`` are ``id, at, counts``.
+    line is not in ``late``. ``rows`` are those of ``with_first``.
     """
     where = all_places(settings)
-    rows = rows.join(texts.select("id", "at", "counts"), "id")
-    first = rows.groupBy("key").agg(F.min(F.struct("at", "id", "counts")).alias("first"))
-    edits = F.element_at(F.array(*(F.lit(place[0]) for place in where)), F.col("place") + 1)
-    rows = rows.withColumn("edits", edits).join(first, "key")
     if late is None:
         near = counts_differ("counts", "first.counts") <= 2 * F.col("edits")
         pairs = rows.where((F.col("id") != F.col("first.id")) & near)
@@ -219,8 +222,10 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
 
 def late_lines(rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """``id`` of the lines of which one within the allowed edits stands earlier; ``texts`` are ``id, at, counts, letters``."""
-    led = materialize(verified(near_pairs(rows, texts, settings), texts, settings), "lines-near-the-first")
-    rest = verified(near_pairs(rows, texts, settings, led), texts, settings)
+    rows = materialize(with_first(rows, texts, settings), "segments-and-first")
+    led = materialize(verified(near_pairs(rows, settings), texts, settings), "lines-near-the-first")
+    rest = materialize(verified(near_pairs(rows, settings, led), texts, settings), "lines-near-others")
+    drop_table(rows)
     return led.union(rest)
 
 

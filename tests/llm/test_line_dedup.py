@@ -102,10 +102,18 @@ def test_many_near_lines_make_few_pairs(spark):
     texts = lines.select(
         F.col("h1").alias("id"), F.struct("doc", "version", "line").alias("at"), ld.letter_counts().alias("counts"), F.split("folded", "").alias("letters")
     )
-    pairs = ld.near_pairs(rows, texts, ld.Settings())
+    rows = ld.with_first(rows, texts, ld.Settings())
+    pairs = ld.near_pairs(rows, ld.Settings())
     assert pairs.count() < 600
     late = ld.verified(pairs, texts, ld.Settings())
-    assert late.count() == 199 and ld.near_pairs(rows, texts, ld.Settings(), late).count() == 0
+    assert late.count() == 199 and ld.near_pairs(rows, ld.Settings(), late).count() == 0
+
+
+def test_ring_code_counts_steps():
+    assert len(set(ld.RING)) == 8
+    for a in range(8):
+        for b in range(8):
+            assert bin(ld.RING[a] ^ ld.RING[b]).count("1") == min(abs(a - b), 8 - abs(a - b))
 
 
 def test_columns_with_internal_names(spark):
