@@ -164,7 +164,7 @@ def build_case_graph(tables: CaseTables, entities: DataFrame, multiplicity: str
     """Node and edge tables, and the validation report."""
     graph = gr.build_graph(
         tables.admissions, tables.patients, tables.diagnoses, tables.procedures, tables.prescriptions, tables.labs,
-        en.clean_entity_sets(entities), multiplicity,
+        en.clean_entity_sets(entities), multiplicity, write=materialize,
     )
     return graph, gr.validate_graph(graph)
 
