@@ -13,8 +13,33 @@ def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFr
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def distinct_per_key(df: DataFrame, keys: Sequence[str], column: str, name: str = "n") -> DataFrame:
-    """Number of distinct non-null values per key; first the distinct pairs, then their count."""
+#: Registers of a sketch, as a power of two: a relative standard error of about 1.6 %.
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], column: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """``keys, sketch``: what is needed to estimate the distinct non-null values per key, a few kilobytes at most. Sketches of
+    later increments can be added with ``merged_sketches``, without the rows they were made of."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(F.col(column).cast("string"), bits).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One sketch per key, of all values of its sketches."""
+    return sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimated_distinct(sketches: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+    return sketches.select(*keys, F.hll_sketch_estimate("sketch").alias(name))
+
+
+def distinct_per_key(df: DataFrame, keys: Sequence[str], column: str, name: str = "n", approx: bool = False) -> DataFrame:
+    """Number of distinct non-null values per key; first the distinct pairs, then their count.
+
+    ``approx`` estimates it from sketches, which are combined before the shuffle, so that a key with very many
+    different values reaches the reducer as a sketch per map task.
+    """
+    if approx:
+        return estimated_distinct(distinct_sketches(df, keys, column), keys, name)
     pairs = df.select(*keys, column).distinct()
     return pairs.groupBy(*keys).agg(F.count(column).alias(name))
 
