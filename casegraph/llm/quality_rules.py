@@ -1,7 +1,8 @@
 """Host-level quality rules.
 
 Rules are counted per document, failures are summed per host, each host's failure rate is shrunk towards all
-hosts by a beta prior fitted to them, and the verdict on a host is joined back to its documents.
+hosts by a beta prior fitted to them, and the verdict on a host is joined back to its documents. The prior is fitted by
+moments weighted by documents, without the spread that chance alone gives to small hosts.
 
 * null or empty text: no words, fails ``too_short``;
 * null host: a host of its own;
@@ -97,16 +98,33 @@ def with_rules(docs: DataFrame, limits: Limits = Limits(), text: str = "text", k
     return counted.withColumns({"base_failed": base, "doc_failed": base | others, "failed": base | others | repeated})
 
 
+def _prior(hosts: DataFrame, limits: Limits) -> tuple[float, float]:
+    """Mean and weight (in documents) of the beta prior of the hosts' failure rates.
+
+    The spread of the rates, weighted by documents, is what chance gives (``k - 1`` for ``k`` hosts, in units of one
+    document's variance) and what differs between hosts: a correlation of that size belongs to a prior of weight
+    ``1 / correlation - 1``. Hosts that differ no more than by chance get the largest weight.
+    """
+    n, x = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
+    k, docs, failed, squares, rates = hosts.agg(
+        F.count(F.lit(1)), F.sum(n), F.sum(x), F.sum(n * n), F.sum(x * x / n)
+    ).first()
+    low, high = limits.prior_weight
+    mean = failed / docs if docs else 0.0
+    variance = mean * (1 - mean)
+    room = docs - squares / docs - (k - 1) if docs else 0.0
+    if variance <= 0 or room <= 0:
+        return mean, high
+    correlation = ((rates - failed * failed / docs) / variance - (k - 1)) / room
+    return mean, min(high, max(low, 1 / correlation - 1)) if correlation > 0 else high
+
+
 def host_verdicts(ruled: DataFrame, host: str, limits: Limits = Limits()) -> DataFrame:
     """Per host: documents, failures, the shrunk rate and ``host_rejected``."""
     hosts = ruled.groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed")
     )
-    rate = F.col("n_failed") / F.col("n_docs")
-    mean, spread = hosts.agg(F.avg(rate), F.var_pop(rate)).first()
-    mean, spread = mean or 0.0, spread or 0.0
-    low, high = limits.prior_weight
-    weight = min(high, max(low, mean * (1 - mean) / spread - 1)) if spread > 0 else high
+    mean, weight = _prior(hosts, limits)
     shrunk = (F.col("n_failed") + mean * weight) / (F.col("n_docs") + weight)
     return hosts.withColumn("host_rate", shrunk).withColumn("host_rejected", shrunk > limits.max_host_rate)
 

@@ -47,8 +47,10 @@ own AS (
   FROM base),
 failures AS (SELECT *, doc_failed OR 100 * n_dup_lines > 30 * n_lines AS failed FROM own),
 hosts AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS f FROM failures GROUP BY source),
-moments AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts),
-prior AS (SELECT m, CASE WHEN v > 0 THEN least(1000.0, greatest(2.0, m * (1 - m) / v - 1)) ELSE 1000.0 END AS w FROM moments),
+sums AS (SELECT count(*) AS k, sum(n)::DOUBLE AS d, sum(f)::DOUBLE AS x, sum(n::DOUBLE * n) AS q, sum(f::DOUBLE * f / n) AS r FROM hosts),
+moments AS (SELECT x / d AS m, (r - x * x / d) / nullif(x / d * (1 - x / d), 0) - (k - 1) AS extra, d - q / d - (k - 1) AS room FROM sums),
+prior AS (
+  SELECT m, CASE WHEN room > 0 AND extra > 0 THEN least(1000.0, greatest(2.0, room / extra - 1)) ELSE 1000.0 END AS w FROM moments),
 bad AS (SELECT source FROM hosts, prior WHERE (f + m * w) / (n + w) > 0.5)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT doc_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM failures.source) AS kept
