@@ -2,10 +2,11 @@
 
 Confirmed toxic documents and unlabelled text are samples of bounded size; the share of toxic documents (the class
 prior) is that of the labelled rows. The risk of calling unlabelled text toxic is corrected by the prior for the
-positives it holds, and kept from going below zero. Linear numpy classifiers on the presence of words are fitted to
-that risk from several seeds and averaged; every document's whole text is scored where it is read.
+positives it holds, and kept from going below zero. Linear numpy classifiers on how often a text has a word, or a word
+with so many first bytes (for endings that change), are fitted to that risk from several seeds and averaged; a count
+enters by its logarithm. Every document's whole text is scored where it is read.
 
-* null or empty text: the score of a text without known words;
+* null or empty text: the score of a text without known words; a text is read whole, however long;
 * repeated rows: scored alike; null ids are never learnt from;
 * no confirmed positives: every score is the prior; no documents: no rows;
 * columns named like a result are replaced.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegraph.llm.labelled import fold, sample_rows, texts_of
-from casegraph.llm.words import LETTERS_DIGITS, LOWER, append_columns, find_words, hash_runs, slices
+from casegraph.llm.words import LETTERS_DIGITS, LOWER, Slice, append_columns, find_words, hash_runs, slices
 
 
 @dataclass(frozen=True)
@@ -29,8 +30,8 @@ class Settings:
     #: Bounds of the samples: confirmed positives, and unlabelled documents.
     max_positive: int = 3_000
     max_unlabelled: int = 10_000
-    #: A word is used if its share among positives differs from that in unlabelled text by so many standard errors.
-    min_z: float = 5.0
+    #: A feature is used if its share among positives differs from that in unlabelled text by so many standard errors.
+    min_z: float = 4.0
     min_documents: int = 3
     classifiers: int = 3
     epochs: int = 60
@@ -39,60 +40,82 @@ class Settings:
     batch: int = 512
 
 
-def _distinct_words(column: pa.Array) -> list[np.ndarray]:
+#: Longer words count by their first so many bytes, too; chosen on folds of the training rows.
+PREFIXES = (5, 6, 7)
+
+
+def _features(piece: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every word of a slice, and of the beginnings of longer words; a beginning counts as that word."""
+    data = LOWER[piece.data]
+    words = find_words(piece, LETTERS_DIGITS, data)
+    hashes, rows = [hash_runs(data, words.start, words.end)], [words.text]
+    for length in PREFIXES:
+        longer = words.end - words.start > length
+        start = words.start[longer]
+        hashes.append(hash_runs(data, start, start + length))
+        rows.append(words.text[longer])
+    return np.concatenate(hashes), np.concatenate(rows)
+
+
+def _counted(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The different features of each text, sorted, and how often it has them."""
     out = []
     for piece in slices(column):
-        data = LOWER[piece.data]
-        words = find_words(piece, LETTERS_DIGITS, data)
-        hashes = hash_runs(data, words.start, words.end)
-        cuts = np.searchsorted(words.text, np.arange(1, piece.n))
-        out += [np.unique(h) for h in np.split(hashes, cuts)] if piece.n else []
+        hashes, rows = _features(piece)
+        order = np.argsort(rows, kind="stable")
+        cuts = np.searchsorted(rows[order], np.arange(1, piece.n))
+        out += [np.unique(h, return_counts=True) for h in np.split(hashes[order], cuts)]
     return out
 
 
 @dataclass(frozen=True)
 class Classifier:
-    words: np.ndarray  # sorted hashes
+    features: np.ndarray  # sorted hashes
     weights: np.ndarray
     bias: float
 
     def score(self, column: pa.Array) -> dict[str, np.ndarray]:
-        parts = [np.zeros(0)]
+        parts, n = [np.zeros(0)], len(self.features)
         for piece in slices(column):
-            data = LOWER[piece.data]
-            words = find_words(piece, LETTERS_DIGITS, data)
-            hashes = hash_runs(data, words.start, words.end)
             total = np.full(piece.n, self.bias)
-            if len(self.words):
-                at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-                known = self.words[at] == hashes
-                pairs = np.unique(words.text[known] * len(self.words) + at[known])  # a word counts once in a text
-                text, word = pairs // len(self.words), pairs % len(self.words)
-                total += np.bincount(text, weights=self.weights[word], minlength=piece.n)
+            if n:
+                hashes, rows = _features(piece)
+                at = np.minimum(np.searchsorted(self.features, hashes), n - 1)
+                known = self.features[at] == hashes
+                pairs, times = np.unique(rows[known] * n + at[known], return_counts=True)
+                total += np.bincount(pairs // n, weights=self.weights[pairs % n] * np.log2(1 + times), minlength=piece.n)
             parts.append(1 / (1 + np.exp(-np.clip(total, -500, 500))))
         return {"score": np.concatenate(parts)}
 
 
-def _matrix(documents: list[np.ndarray], words: np.ndarray) -> np.ndarray:
-    """Which of the chosen words each document has, and one for the bias."""
-    out = np.zeros((len(documents), len(words) + 1), dtype=np.float32)
+Counts = list[tuple[np.ndarray, np.ndarray]]
+
+
+def _matrix(documents: Counts, features: np.ndarray) -> np.ndarray:
+    """Logarithms of the counts of the chosen features in each document, and a one for the bias."""
+    out = np.zeros((len(documents), len(features) + 1), dtype=np.float32)
     out[:, -1] = 1
-    for row, own in zip(out, documents):
-        at = np.minimum(np.searchsorted(words, own), max(len(words) - 1, 0))
-        if len(words):
-            row[at[words[at] == own]] = 1
+    if len(features):
+        for row, (own, times) in zip(out, documents):
+            at = np.minimum(np.searchsorted(features, own), len(features) - 1)
+            known = features[at] == own
+            row[at[known]] = np.log2(1 + times[known])
     return out
 
 
-def _chosen_words(positive: list[np.ndarray], unlabelled: list[np.ndarray], settings: Settings) -> np.ndarray:
-    words, of = np.unique(np.concatenate([*positive, *unlabelled]), return_inverse=True)
-    split = sum(map(len, positive))
-    p = np.bincount(of[:split], minlength=len(words)) / len(positive)
-    u = np.bincount(of[split:], minlength=len(words)) / len(unlabelled)
-    both = (p * len(positive) + u * len(unlabelled)) / (len(positive) + len(unlabelled))
-    error = np.sqrt(both * (1 - both) * (1 / len(positive) + 1 / len(unlabelled)))
-    often = np.bincount(of, minlength=len(words)) >= settings.min_documents
-    return words[often & (np.abs(p - u) > settings.min_z * np.maximum(error, 1e-12))]
+def _chosen(positive: Counts, unlabelled: Counts, settings: Settings) -> np.ndarray:
+    """Features that more, or fewer, positives have than unlabelled documents, beyond chance."""
+    n_p, n_u = len(positive), len(unlabelled)
+    of_p, in_p = np.unique(np.concatenate([h for h, _ in positive]), return_counts=True)
+    of_u, in_u = np.unique(np.concatenate([h for h, _ in unlabelled]), return_counts=True)
+    features = np.union1d(of_p, of_u)
+    p, u = np.zeros(len(features)), np.zeros(len(features))
+    p[np.searchsorted(features, of_p)] = in_p
+    u[np.searchsorted(features, of_u)] = in_u
+    both = (p + u) / (n_p + n_u)
+    error = np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
+    often = p + u >= settings.min_documents
+    return features[often & (np.abs(p / n_p - u / n_u) > settings.min_z * np.maximum(error, 1e-12))]
 
 
 def _fit(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, settings: Settings, seed: int) -> np.ndarray:
@@ -132,19 +155,25 @@ def fit(
     ids = sample_rows(known.where(F.col(label) == 1), id, settings.max_positive).withColumn("_positive", F.lit(True))
     ids = ids.union(sample_rows(docs.where(learn), id, settings.max_unlabelled).withColumn("_positive", F.lit(False)))
 
-    def words_of(column: pa.Array) -> dict[str, pa.Array]:
-        return {"_words": pa.array([h.tobytes() for h in _distinct_words(column)], pa.binary())}
-
-    sampled = append_columns(texts_of(docs.select(id, text), ids, id), text, "_words binary", words_of, keep=["_positive"])
-    rows = sampled.collect()  # bounded by the settings
-    found = {flag: [np.frombuffer(r["_words"], dtype=np.uint64) for r in rows if r["_positive"] == flag] for flag in (True, False)}
+    def counts_of(column: pa.Array) -> dict[str, pa.Array]:
+        found = _counted(column)
+        return {
+            "_features": pa.array([h.tobytes() for h, _ in found], pa.binary()),
+            "_times": pa.array([t.astype(np.uint32).tobytes() for _, t in found], pa.binary()),
+        }
+
+    texts = texts_of(docs.select(id, text), ids, id)
+    rows = append_columns(texts, text, "_features binary, _times binary", counts_of, keep=["_positive"]).collect()  # bounded by the settings
+    found: dict[bool, Counts] = {True: [], False: []}
+    for r in rows:
+        found[r["_positive"]].append((np.frombuffer(r["_features"], np.uint64), np.frombuffer(r["_times"], np.uint32)))
     positive, unlabelled = found[True], found[False]
     if not positive or not unlabelled:
         return Classifier(np.zeros(0, dtype=np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    words = _chosen_words(positive, unlabelled, settings)
-    x_pos, x_unl = _matrix(positive, words), _matrix(unlabelled, words)
+    features = _chosen(positive, unlabelled, settings)
+    x_pos, x_unl = _matrix(positive, features), _matrix(unlabelled, features)
     w = np.mean([_fit(x_pos, x_unl, prior, settings, seed) for seed in range(settings.classifiers)], axis=0)
-    return Classifier(words, w[:-1], float(w[-1]))
+    return Classifier(features, w[:-1], float(w[-1]))
 
 
 def score(docs: DataFrame, classifier: Classifier, text: str = "text", keep: list[str] | None = None) -> DataFrame:
