@@ -11,7 +11,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         raise ValueError("fmt must be parquet, csv or json")
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer = writer.options(header=True, escape='"', **as_is)
     writer.format(fmt).save(path)
 
 

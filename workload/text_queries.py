@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casegraph.functions import text as tx
 from casegraph.operators import entities as en
+from casegraph.session import new_folder
+from casegraph.sources.readers import scan_csv
+from casegraph.sources.sinks import write_table
 from workload.registry import joined, query
 from workload.tables import CTES, Tables, with_ctes
 
@@ -27,6 +31,15 @@ def _(t: Tables):
     return en.select_notes(t.notes, t.admissions).select("hadm_id", F.md5("text").alias("text_md5"))
 
 
+# an empty cell means a missing value
+@query("csv_notes", "SELECT doc_id, nullif(lang, '') AS lang, md5(nullif(text, '')) AS text_md5 FROM documents")
+def _(t: Tables):
+    folder = new_folder(t.spark, "csv-notes")
+    write_table(t.scan("documents", "doc_id", "text", "lang"), folder, "csv")
+    notes = scan_csv(t.spark, folder, StructType.fromDDL("lang string, doc_id long, text string"), multi_line=True)
+    return notes.select("doc_id", "lang", F.md5("text").alias("text_md5"))
+
+
 @query(
     "first_words",
     r"""SELECT doc_id, array_to_string(list_slice(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''), 1, 350), ' ')
