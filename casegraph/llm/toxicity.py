@@ -14,6 +14,7 @@ enters by its logarithm. Every document's whole text is scored where it is read.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -103,19 +104,27 @@ def _matrix(documents: Counts, features: np.ndarray) -> np.ndarray:
     return out
 
 
-def _chosen(positive: Counts, unlabelled: Counts, settings: Settings) -> np.ndarray:
-    """Features that more, or fewer, positives have than unlabelled documents, beyond chance."""
-    n_p, n_u = len(positive), len(unlabelled)
-    of_p, in_p = np.unique(np.concatenate([h for h, _ in positive]), return_counts=True)
-    of_u, in_u = np.unique(np.concatenate([h for h, _ in unlabelled]), return_counts=True)
-    features = np.union1d(of_p, of_u)
-    p, u = np.zeros(len(features)), np.zeros(len(features))
-    p[np.searchsorted(features, of_p)] = in_p
-    u[np.searchsorted(features, of_u)] = in_u
-    both = (p + u) / (n_p + n_u)
-    error = np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
-    often = p + u >= settings.min_documents
-    return features[often & (np.abs(p / n_p - u / n_u) > settings.min_z * np.maximum(error, 1e-12))]
+def _chosen(texts: DataFrame, text: str, settings: Settings) -> np.ndarray:
+    """Features that more, or fewer, positives have than unlabelled documents, beyond chance, sorted.
+
+    They are counted where the texts are read; the driver receives the chosen ones alone.
+    """
+    numbers = {r["_positive"]: r["count"] for r in texts.groupBy("_positive").count().collect()}
+    if len(numbers) < 2:
+        return np.zeros(0, dtype=np.uint64)
+
+    def features_of(column: pa.Array) -> dict[str, pa.Array]:
+        return {"_features": pa.array([h.view(np.int64) for h, _ in _counted(column)], pa.list_(pa.int64()))}
+
+    own = append_columns(texts, text, "_features array<bigint>", features_of, keep=["_positive"])
+    in_p, in_u = (F.count_if(F.col("_positive") == flag) for flag in (True, False))
+    counts = own.select("_positive", F.explode("_features").alias("feature")).groupBy("feature").agg(in_p.alias("p"), in_u.alias("u"))
+    n_p, n_u = float(numbers[True]), float(numbers[False])
+    both = (F.col("p") + F.col("u")) / (n_p + n_u)
+    error = F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
+    beyond = F.abs(F.col("p") / n_p - F.col("u") / n_u) > settings.min_z * F.greatest(error, F.lit(1e-12))
+    chosen = counts.where((F.col("p") + F.col("u") >= settings.min_documents) & beyond).select("feature").collect()
+    return np.sort(np.array([r["feature"] for r in chosen], dtype=np.int64).view(np.uint64))
 
 
 def _fit(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, settings: Settings, seed: int) -> np.ndarray:
@@ -155,23 +164,18 @@ def fit(
     ids = sample_rows(known.where(F.col(label) == 1), id, settings.max_positive).withColumn("_positive", F.lit(True))
     ids = ids.union(sample_rows(docs.where(learn), id, settings.max_unlabelled).withColumn("_positive", F.lit(False)))
 
+    texts = texts_of(docs.select(id, text), ids, id)
+    features = _chosen(texts, text, settings)
+
     def counts_of(column: pa.Array) -> dict[str, pa.Array]:
-        found = _counted(column)
-        return {
-            "_features": pa.array([h.tobytes() for h, _ in found], pa.binary()),
-            "_times": pa.array([t.astype(np.uint32).tobytes() for _, t in found], pa.binary()),
-        }
+        rows = [row.tobytes() for row in _matrix(_counted(column), features)]
+        return {"_row": pa.array([zlib.compress(row, 1) for row in rows], pa.binary())}
 
-    texts = texts_of(docs.select(id, text), ids, id)
-    rows = append_columns(texts, text, "_features binary, _times binary", counts_of, keep=["_positive"]).collect()  # bounded by the settings
-    found: dict[bool, Counts] = {True: [], False: []}
-    for r in rows:
-        found[r["_positive"]].append((np.frombuffer(r["_features"], np.uint64), np.frombuffer(r["_times"], np.uint32)))
-    positive, unlabelled = found[True], found[False]
-    if not positive or not unlabelled:
+    rows = append_columns(texts, text, "_row binary", counts_of, keep=["_positive"]).collect()  # bounded by the settings
+    x = {flag: [np.frombuffer(zlib.decompress(r["_row"]), np.float32) for r in rows if r["_positive"] == flag] for flag in (True, False)}
+    if not x[True] or not x[False]:
         return Classifier(np.zeros(0, dtype=np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    features = _chosen(positive, unlabelled, settings)
-    x_pos, x_unl = _matrix(positive, features), _matrix(unlabelled, features)
+    x_pos, x_unl = np.stack(x.pop(True)), np.stack(x.pop(False))
     w = np.mean([_fit(x_pos, x_unl, prior, settings, seed) for seed in range(settings.classifiers)], axis=0)
     return Classifier(features, w[:-1], float(w[-1]))
 

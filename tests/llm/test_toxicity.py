@@ -3,7 +3,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 
 from casegraph.llm import toxicity as tx
 from casegraph.llm.queries import QUERIES
@@ -55,12 +54,12 @@ def hash_of(word):
     return hash_runs(data, np.array([0]), np.array([len(data)]))[0]
 
 
-def test_chosen_features_match_brute_force():
+def test_chosen_features_match_brute_force(spark):
     rng = np.random.default_rng(5)
     texts = [" ".join(rng.choice(["alpha", "beta", "gammadelta", "gammarays", "x"], 6, p=[0.3, 0.3, 0.02, 0.02, 0.36])) for _ in range(400)]
     texts[:60] = [t + (" vilenessa" if i % 2 else " vilenesse") for i, t in enumerate(texts[:60])]
-    counted = tx._counted(pa.array(texts))
-    got = tx._chosen(counted[:60], counted[60:], tx.Settings())
+    docs = spark.createDataFrame([(t, i < 60) for i, t in enumerate(texts)], "text string, _positive boolean")
+    got = tx._chosen(docs, "text", tx.Settings())
     plain = [plain_features(t) for t in texts]
     want = []
     for f in set().union(*plain):
