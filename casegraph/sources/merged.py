@@ -8,7 +8,8 @@ of two merges at a time only one can publish, the other is an error. ``vacuum``
 * columns in ``overwrite`` take the delta's values on known keys; all others keep the first writer's, null or not;
 * several delta rows of one key: the first in ``order`` counts;
 * delta rows with a null key are left out; a delta without rows publishes nothing; merging a delta again changes nothing;
-* a delta must have the table's columns; their names are free.
+* a delta must have the table's columns; their names are free;
+* files are sorted by key, so that ``lookup`` reads few row groups of the buckets it opens.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,10 +93,40 @@ def _bucket(keys: Sequence[Column], n: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int").alias("bucket")
 
 
-def merge_rows(delta: DataFrame, table: MergedTable, order: Sequence[str] = ()) -> Manifest | None:
-    """Merge ``delta`` into the table, which is made by the first merge. ``order`` says which of equal keys comes first."""
+def rows_near(spark: SparkSession, table: MergedTable, keys: DataFrame) -> DataFrame | None:
+    """All rows of the buckets in which a row of ``keys`` (the table's key columns and types) belongs; None before the first merge."""
+    current = manifest(spark, table)
+    if current is None:
+        return None
+    touched = keys.select(_bucket([F.col(k) for k in table.keys], current.buckets)).distinct().collect()  # one per bucket at most
+    return _read_buckets(spark, table, current, sorted(r["bucket"] for r in touched))
+
+
+def lookup(spark: SparkSession, table: MergedTable, wanted: Sequence[tuple]) -> DataFrame | None:
+    """Rows of a few keys, each a tuple in the order of ``table.keys``; None before the first merge.
+
+    Only the buckets of these keys are opened; the comparison reaches the scan, which skips row groups by their
+    smallest and largest key. Unknown keys and keys with a null have no row.
+    """
+    current = manifest(spark, table)
+    if current is None:
+        return None
+    types = StructType([current.columns[k] for k in table.keys])
+    wanted = [tuple(w) for w in wanted if None not in w]
+    rows = rows_near(spark, table, spark.createDataFrame(wanted, types))
+    same = [reduce(and_, (F.col(f.name) == F.lit(v).cast(f.dataType) for f, v in zip(types, w))) for w in wanted]
+    return rows.where(reduce(or_, same, F.lit(False)))
+
+
+def merge_rows(delta: DataFrame, table: MergedTable, order: Sequence[str] = (), version: int | None = None) -> Manifest | None:
+    """Merge ``delta`` into the table, which is made by the first merge. ``order`` says which of equal keys comes first.
+
+    ``version`` is the one the delta was derived from (0: none yet); it is an error if the table has another by now.
+    """
     spark = delta.sparkSession
     current = manifest(spark, table)
+    if version is not None and version != (current.version if current else 0):
+        raise RuntimeError(f"another merge has changed {table.folder} since version {version}")
     columns = StructType([f for f in delta.schema]) if current is None else current.columns
     n = table.buckets if current is None else current.buckets
     if sorted(delta.columns) != sorted(columns.names):
@@ -120,6 +153,7 @@ def merge_rows(delta: DataFrame, table: MergedTable, order: Sequence[str] = ())
         F.when(latest if c in table.overwrite else first, F.col("old")[c]).otherwise(F.col("new")[c]).alias(c) for c in columns.names
     ]
     rows = joined.select(F.struct(*merged).alias("row"), _bucket([F.col(m) for m in marks], n)).repartition("bucket")
+    rows = rows.sortWithinPartitions("bucket", *(F.col("row")[k] for k in table.keys))
     version = 1 if current is None else current.version + 1
     target = f"{version:09d}-{uuid.uuid4().hex}"
     # the files hold the table's columns only: the bucket is in the folder's name

@@ -11,10 +11,12 @@ from casegraph.functions.vectors import greatest_vector, zeros
 from casegraph.operators import cohort as co
 from casegraph.operators import features as fe
 from casegraph.operators import graph as gr
+from casegraph.operators import id_registry as ids
 from casegraph.operators import propagate as pr
 from casegraph.operators import ranking as rk
 from casegraph.plans import stages
 from casegraph.session import materialize, new_folder
+from casegraph.sources import sinks
 from workload.cohort_queries import STANDARDIZED_SQL, standardized
 from workload.registry import joined, q, q_sql, query
 from workload.tables import Tables, with_ctes
@@ -79,6 +81,57 @@ def _(t: Tables):
     return merged_graph(t).nodes["Diagnosis"]
 
 
+@query(
+    "stable_index",
+    # drugs of even cases first, behind them those that only odd cases have
+    with_ctes(
+        "presc",
+        """SELECT drug, row_number() OVER (ORDER BY batch, drug) - 1 AS idx, batch FROM
+           (SELECT drug, min(CASE WHEN hadm_id % 2 = 0 THEN 1 ELSE 2 END) AS batch FROM presc WHERE drug IS NOT NULL GROUP BY drug)""",
+    ),
+)
+def _(t: Tables):
+    folder = new_folder(t.spark, "drug-index")
+    for odd in (0, 1):
+        ids.extend_index(t.prescriptions.where(F.col("hadm_id") % 2 == odd), "drug", folder, 8)
+    return ids.read_index(t.spark, "drug", folder)
+
+
+@query(
+    "stable_admission_index",
+    with_ctes(
+        "adm",
+        """SELECT hadm_id, row_number() OVER (ORDER BY hadm_id % 2, hadm_id) - 1 AS idx, (hadm_id % 2 + 1)::INTEGER AS batch
+           FROM (SELECT DISTINCT hadm_id FROM adm)""",
+    ),
+)
+def _(t: Tables):
+    folder = new_folder(t.spark, "admission-index")
+    admissions = materialize(t.admissions.select("hadm_id"), "admissions")
+    for batch in (admissions.where("hadm_id % 2 = 0"), admissions, admissions.where("hadm_id % 2 = 0")):
+        ids.extend_index(batch, "hadm_id", folder, 8)
+    return ids.read_index(t.spark, "hadm_id", folder)
+
+
+@query(
+    "merged_case_results",
+    # the second run covers even cases and replaces their first result
+    with_ctes(
+        "adm",
+        """SELECT hadm_id, CASE WHEN hadm_id % 2 = 0 THEN insurance ELSE admission_type END AS answer,
+                  CASE WHEN hadm_id % 2 = 0 THEN 2 ELSE 1 END AS run FROM adm""",
+    ),
+)
+def _(t: Tables):
+    path = new_folder(t.spark, "results")
+    admissions = materialize(t.admissions.select("hadm_id", "admission_type", "insurance"), "admissions")
+    first = admissions.select("hadm_id", F.col("admission_type").alias("answer"), F.lit(1).alias("run"))
+    second = admissions.where("hadm_id % 2 = 0").select("hadm_id", F.col("insurance").alias("answer"), F.lit(2).alias("run"))
+    sinks.merge_case_results(first, path, rows_per_bucket=5_000)
+    sinks.merge_case_results(second, path)
+    return sinks.read_cases(t.spark, path)
+
+
 @query("nodes_patient", with_ctes("adm pat", _NODE_SQL["Patient"]))
 def _(t: Tables):
     return gr.patient_nodes(t.admissions, t.patients)
