@@ -21,6 +21,7 @@ from casegraph.operators import metrics as me
 from casegraph.operators import model as mo
 from casegraph.operators import propagate as pr
 from casegraph.operators import ranking as rk
+from casegraph.operators.id_registry import extend_index
 from casegraph.operators.report import funnel
 from casegraph.session import at_once, materialize
 from casegraph.sources import sinks
@@ -204,8 +205,14 @@ class TrainingGraph:
     edges: dict[str, DataFrame]  # edge type -> src_idx, dst_idx
 
 
-def build_training_graph(tables: CaseTables, entities: DataFrame, fit_on: str = "train") -> TrainingGraph:
-    """``fit_on``: scale by the training rows only, or by ``all`` rows."""
+def build_training_graph(
+    tables: CaseTables, entities: DataFrame, fit_on: str = "train", index_folder: str | None = None
+) -> TrainingGraph:
+    """``fit_on``: scale by the training rows only, or by ``all`` rows.
+
+    ``index_folder`` keeps the positions of nodes over increments: those of earlier runs stay, and vocabularies hold
+    their items too. Without it the nodes of this run are numbered anew.
+    """
     facts = {
         "DIAGNOSED_WITH": (tables.diagnoses, "icd_code", "Diagnosis"),
         "PRESCRIBED": (tables.prescriptions, "drug", "Medication"),
@@ -226,12 +233,16 @@ def build_training_graph(tables: CaseTables, entities: DataFrame, fit_on: str =
         scaler = fe.fit_scaler(parted.where("split = 'train'") if fit_on == "train" else parted, fe.FEATURES)
         return parted.select("hadm_id", "label", "split", F.array(*scaler.scaled()).alias("features"))
 
+    def positions(table: DataFrame, key: str, node_type: str) -> DataFrame:
+        known = extend_index(table, key, f"{index_folder}/{node_type}") if index_folder else None
+        return rk.dense_index(table, key) if known is None else known.select(key, "idx")
+
     jobs = [
         examples,
         lambda: fe.patient_features(tables.patients),
-        lambda: rk.dense_index(tables.admissions, "hadm_id"),
-        lambda: rk.dense_index(tables.patients, "subject_id"),
-        *[lambda name=name, item=item: rk.dense_index(kept[name], item) for name, (_, item, _) in facts.items()],
+        lambda: positions(tables.admissions, "hadm_id", "Admission"),
+        lambda: positions(tables.patients, "subject_id", "Patient"),
+        *[lambda name=name, item=item, node=node: positions(kept[name], item, node) for name, (_, item, node) in facts.items()],
     ]
     rows, ages, index, patient_index, *indexes = at_once(jobs)
     vocabularies, edges = {}, {}

@@ -1,6 +1,7 @@
 """Files to explained cases, sinks, and incremental extraction."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +112,16 @@ def test_files_to_explained_cases(spark, tmp_path):
     assert training.admissions.count() == 53
     assert {r["split"]: r["count"] for r in training.admissions.groupBy("split").count().collect()} == {"train": 42, "val": 5, "test": 6}
     assert training.edges["PRESCRIBED"].count() == tables.prescriptions.count()
+    odd = replace(tables, admissions=tables.admissions.where("hadm_id % 2 = 1"))
+    early = stages.build_training_graph(odd, entities, index_folder=str(tmp_path / "index"))
+    places = {r["hadm_id"]: r["idx"] for r in early.admissions.collect()}
+    drugs = {r["drug"]: r["idx"] for r in early.vocabularies["Medication"].collect()}
+    late = stages.build_training_graph(tables, entities, index_folder=str(tmp_path / "index"))
+    then = {r["hadm_id"]: r["idx"] for r in late.admissions.collect()}
+    assert places.items() <= then.items() and sorted(then.values()) == list(range(53))
+    assert drugs.items() <= {r["drug"]: r["idx"] for r in late.vocabularies["Medication"].collect()}.items()
+    assert late.admissions.columns == training.admissions.columns
+    assert {t: e.count() for t, e in late.edges.items()} == {t: e.count() for t, e in training.edges.items()}
     result = stages.train_and_evaluate(training)
     assert {r["metric"] for r in result.report.collect()} == {"auc", "f1", "precision", "recall"}
 
