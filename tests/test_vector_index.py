@@ -65,6 +65,26 @@ def test_exact_search_meets_few_cells_and_loses_nothing(spark, clustered):
     assert met.pairs == 60 * len(index.centres) and met.pairs_met < 0.3 * met.pairs and met.share_compared < 0.5
 
 
+def test_a_query_travels_once_to_each_pack_of_cells(spark, tmp_path):
+    """Vectors without clusters: all cells are met, but the copies of a query follow the packs of ``shard_rows`` vectors."""
+    corpus = frame(spark, rows(1200, 24, 1200, 5))
+    index = vi.build_index(corpus, str(tmp_path / "index"), cells=40, shard_rows=300)
+    packs = int((index.packs + index.shards).max())
+    assert packs < len(index.centres) / 3
+    load = np.zeros(packs)
+    for pack, n, shards in zip(index.packs, index.rows, index.shards):
+        load[pack : pack + shards] += n / shards
+    assert load.max() <= 300
+    met = vi.reachable_cells(vi._asked(corpus, index, "id", "embedding"), index, 5)
+    assert met.count() <= 1200 * packs < met.select(F.explode("cells")).count()
+    assert pairs(vi.search_exact(corpus, index, 5, block_rows=100)) == pairs(knn.nearest(corpus, corpus, 5, max_sent_queries=0))
+
+
+def test_repeated_ids_are_no_neighbours_of_their_own(spark):
+    corpus = frame(spark, [(1, [0.0]), (1, [0.0]), (2, [1.0])])
+    assert {(r.query_id, r.neighbor_id) for r in knn.nearest(corpus, corpus, 2, max_sent_queries=0).collect()} == {(1, 2), (2, 1)}
+
+
 def test_exact_search_of_unclustered_ties_and_bad_vectors(spark, tmp_path):
     rng = np.random.default_rng(3)
     data = [(i, rng.integers(0, 3, 4).astype(float).tolist()) for i in range(300)]
