@@ -24,6 +24,19 @@ def test_cohort_and_complement(spark):
     assert co.restrict_wide(table, cohort, "k", "v", "left_anti").count() == 2
 
 
+def test_many_ids_of_notes_are_not_broadcast(spark):
+    table = spark.range(40).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    ids = spark.range(20, 1000).toDF("k")
+    for how, want in (("left_semi", set(range(20, 40))), ("left_anti", set(range(20)))):
+        found = co.restrict_wide(table, ids, "k", "v", how, max_broadcast_ids=10)
+        assert {r["k"] for r in found.collect()} == want and found.count() == 20
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        # ids that no note has are not multiplied
+        (known,) = {f.rsplit("/", 1)[0] for f in found.inputFiles() if "known-ids" in f}
+        assert spark.read.parquet(known).count() == 20
+
+
 def test_empty_cohort_is_no_error(spark):
     table = spark.createDataFrame([(1, 2.0)], "k bigint, v double")
     none = co.cohort_ids(table.where("false"), "k")
