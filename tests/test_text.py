@@ -2,6 +2,7 @@ import random
 import sys
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -184,3 +185,27 @@ def test_large_dictionaries_are_joined(spark, monkeypatch):
     want = sorted(map(tuple, en.dictionary_mentions(notes, dictionary).collect()))
     monkeypatch.setattr(en, "MAX_BROADCAST_TERMS", 1)
     assert sorted(map(tuple, en.dictionary_mentions(notes, dictionary).collect())) == want
+
+
+def test_a_task_looks_at_few_tokens_together(spark, monkeypatch):
+    """Memory of a task does not follow its batches: notes are looked at in parts, and the counts are those of whole notes."""
+    from casegraph.operators import automaton as at
+
+    def watched(self, numbers, text):
+        assert len(numbers) <= 50 or len(set(text.tolist())) == 1, "too many tokens together"
+        return find(self, numbers, text)
+
+    find = at.TermAutomaton.find
+    monkeypatch.setattr(at.TermAutomaton, "find", watched)
+    monkeypatch.setattr(en, "TOKENS_AT_ONCE", 50)
+    assert list(en._parts(np.array([0, 20, 20, 50, 51, 200, 210]), 50)) == [(0, 3), (3, 4), (4, 5), (5, 6)]
+    texts = [None, "", "a b " * 40, *(["a b c"] * 30)]
+    tokens = spark.createDataFrame([(i, x.split() if x is not None else None) for i, x in enumerate(texts)], "id int, tokens array<string>").coalesce(1)
+    kinds = {("a",): ["symptom"], ("a", "b"): ["symptom", "disease"]}
+    seen = []
+    monkeypatch.setattr(type(tokens), "mapInArrow", lambda self, run, schema: seen.append(run) or self)
+    en._automaton_counts(tokens, kinds)
+    batch = tokens.toArrow().combine_chunks().to_batches()
+    found = [r for part in seen[0](iter(batch)) for r in part.to_pylist()]
+    want = [(i, t, k, x.split().count("a")) for i, x in enumerate(texts) if x for t, k in (("a", "symptom"), ("a b", "disease"), ("a b", "symptom"))]
+    assert sorted((r["id"], r["term"], r["kind"], r["n"]) for r in found) == sorted(want)
