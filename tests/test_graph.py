@@ -166,3 +166,16 @@ def test_neighbourhood_features(spark):
     pairs = spark.createDataFrame([(1, 7), (2, 7), (2, 8)], "case bigint, item bigint")
     got = {r["hadm_id"]: r["features"] for r in pr.neighbourhood_features(features, {"d": pairs}, 2).collect()}
     assert got == {1: [1.0, 0.0, 2.0, 1.0], 2: [3.0, 2.0, 2.5, 1.5], 3: [5.0, 5.0, 0.0, 0.0]}
+
+
+def test_indexes_of_edge_types_are_made_together(spark, monkeypatch):
+    from workload import graph_queries as gq
+    from workload.registry import QUERIES
+    from workload.tables import Tables
+
+    sizes, run = [], gq.at_once
+    monkeypatch.setattr(gq, "at_once", lambda jobs: sizes.append(len(jobs)) or run(jobs))
+    found = QUERIES["edge_index_all"](Tables(spark, "/root/testdata/sf0.001"))
+    assert sizes == [6]
+    ends = {r["edge_type"]: r for r in found.groupBy("edge_type").agg(F.min("dst_idx").alias("low"), F.count("src_idx").alias("n")).collect()}
+    assert len(ends) == 5 and all(r["low"] == 0 and r["n"] > 0 for r in ends.values())
