@@ -6,8 +6,8 @@ streams of a host are concatenated and their suffixes sorted; stretches of ``min
 distinct pages are boilerplate, and the tokens they cover are removed. Pages with the same text count as one, and stay alike. Inside a marked article a stretch must be on
 nearly all of a host's pages, for a passage that a few articles share belongs to them.
 
-A host with much text is dealt out to groups of about ``group_bytes``, by a hash of the page; boilerplate is on most
-pages, so each group shows it.
+A host with much text is dealt out to groups of about ``group_bytes``, by a hash of the page; the pages of a stretch are counted over
+all its groups, so the result is that of the whole host.
 
 * null or empty html: empty text; no host in the url, or null url: repeated stretches stay, for nothing ties such pages;
 * repeated rows: one result each; unclosed elements and a cut-off end are read as far as they go;
@@ -23,7 +23,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -68,7 +69,7 @@ _PARTS = re.compile(r"[^a-z]+")
 @dataclass(frozen=True)
 class Settings:
     min_tokens: int = 8
-    #: Distinct pages of a group, and their share, that make a stretch boilerplate outside and inside a marked article.
+    #: Distinct pages of a host, and their share, that make a stretch boilerplate outside and inside a marked article.
     min_pages: int = 2
     min_share: float = 0.2
     article_pages: int = 8
@@ -188,12 +189,11 @@ def blocks_of(page: str) -> tuple[list[str], bool]:
     return (article, True) if article else (plain, False)
 
 
-def repeated_tokens(symbols: np.ndarray, page: np.ndarray, need: np.ndarray, min_tokens: int) -> np.ndarray:
-    """Which symbols are covered by stretches of ``min_tokens`` that stand on at least ``need`` pages (per symbol).
+def _stretches(symbols: np.ndarray, page: np.ndarray, min_tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all stretches of ``min_tokens`` in suffix order, the number of the stretch at each, and on how many pages each stands.
 
     ``symbols`` has zeros between pages and at both ends; ``page`` numbers the pages.
     """
-    covered = np.zeros(len(symbols) + 1, dtype=np.int64)
     order = suffix_order(symbols)
     # neighbours in suffix order that agree in so many tokens
     padded = np.concatenate([symbols, np.zeros(min_tokens, dtype=symbols.dtype)])
@@ -207,53 +207,100 @@ def repeated_tokens(symbols: np.ndarray, page: np.ndarray, need: np.ndarray, min
     group, order = group[whole], order[whole]
     pairs = np.unique(group * (int(page[-1]) + 1 if len(page) else 1) + page[order]) // (int(page[-1]) + 1 if len(page) else 1)
     pages = np.bincount(pairs, minlength=int(group[-1]) + 1 if len(group) else 1)
-    start = order[pages[group] >= need[order]] if len(group) else order
-    covered[start] += 1
-    np.add.at(covered, start + min_tokens, -1)
+    return order, group, pages
+
+
+def _cover(starts: np.ndarray, n: int, min_tokens: int) -> np.ndarray:
+    """Which of ``n`` symbols are covered by the stretches that begin at ``starts``."""
+    covered = np.zeros(n + 1, dtype=np.int64)
+    covered[starts] += 1
+    np.add.at(covered, starts + min_tokens, -1)
     return np.cumsum(covered[:-1]) > 0
 
 
-def _without_boilerplate(texts: pa.Array, article: np.ndarray, settings: Settings) -> list[str]:
-    """Texts of one group of a host; a text that several pages have is looked at once, for a copy proves no boilerplate."""
-    coded = texts.dictionary_encode()
-    of = coded.indices.to_numpy(zero_copy_only=False)
-    marked = np.zeros(len(coded.dictionary), dtype=bool)
-    marked[of[article]] = True
-    cleaned = _clean_distinct(coded.dictionary, marked, settings)
-    return [cleaned[i] for i in of.tolist()]
+def repeated_tokens(symbols: np.ndarray, page: np.ndarray, need: np.ndarray, min_tokens: int) -> np.ndarray:
+    """Which symbols are covered by stretches of ``min_tokens`` that stand on at least ``need`` pages (per symbol)."""
+    order, group, pages = _stretches(symbols, page, min_tokens)
+    return _cover(order[pages[group] >= need[order]] if len(group) else order, len(symbols), min_tokens)
 
 
-def _clean_distinct(texts: pa.Array, article: np.ndarray, settings: Settings) -> list[str]:
-    """Different texts without what they share; blocks are lines with an empty line between."""
-    out = texts.to_pylist()
-    parts, symbols, page, need = list(slices(texts)), [], [], []
-    n_pages = len(out)
-    needs = np.where(
-        article,
-        max(settings.article_pages, int(np.ceil(settings.article_share * n_pages))),
-        max(settings.min_pages, int(np.ceil(settings.min_share * n_pages))),
-    )
-    if n_pages < needs.min():
-        return out
-    words = [find_words(p, NON_SPACE) for p in parts]
-    for p, w in zip(parts, words):
-        of = w.text + p.first
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, with zeros between texts and at both ends, and the number of the text at each place."""
+    symbols, page = [], []
+    for p in slices(texts):
+        w = find_words(p, NON_SPACE)
         gaps = w.text + 1  # a separator before each page
         ids = np.zeros(len(w.start) + p.n, dtype=np.uint64)
         place = np.arange(len(w.start)) + gaps
         ids[place] = hash_runs(p.data, w.start, w.end) | np.uint64(1)
         owner = np.zeros(len(ids), dtype=np.int64)
-        owner[place] = of
+        owner[place] = w.text + p.first
         breaks = np.ones(len(ids), dtype=bool)
         breaks[place] = False
         owner[breaks] = p.first + np.arange(p.n)
         symbols.append(ids)
         page.append(owner)
-    symbols, page = np.concatenate([*symbols, np.zeros(1, np.uint64)]), np.concatenate([*page, [n_pages - 1]])
-    symbols = np.unique(symbols, return_inverse=True)[1].astype(np.int64)  # zero stays the smallest
-    covered = repeated_tokens(symbols, page, needs[page], settings.min_tokens)
+    return np.concatenate([*symbols, np.zeros(1, np.uint64)]), np.concatenate([*page, [max(len(texts) - 1, 0)]])
+
+
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    return np.unique(hashes, return_inverse=True)[1].astype(np.int64)  # zero stays the smallest
+
+
+def _stretch_starts(hashes: np.ndarray, min_tokens: int) -> np.ndarray:
+    """Places at which so many tokens of one text follow."""
+    gap = np.cumsum(np.concatenate([[0], hashes == 0]))
+    n = max(len(hashes) - min_tokens + 1, 0)
+    return np.flatnonzero(gap[min_tokens : min_tokens + n] == gap[:n])
+
+
+def _stretch_hashes(hashes: np.ndarray, starts: np.ndarray, min_tokens: int) -> np.ndarray:
+    """One number per stretch, the same in every group of a host."""
+    found = np.zeros(len(starts), dtype=np.uint64)
+    for j in range(min_tokens):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + hashes[starts + j]
+    return found.view(np.int64)
+
+
+def _needs(n_pages: int, settings: Settings) -> tuple[int, int]:
+    """Pages on which a stretch is boilerplate outside and inside a marked article."""
+    return (
+        max(settings.min_pages, int(np.ceil(settings.min_share * n_pages))),
+        max(settings.article_pages, int(np.ceil(settings.article_share * n_pages))),
+    )
+
+
+def _reported(n_pages: int, settings: Settings) -> int:
+    """Pages of a group from which on it reports a stretch: half the smaller share, so that few reports do not suffice."""
+    return max(1, int(np.ceil(min(settings.min_share, settings.article_share) / 2 * n_pages)))
+
+
+def _without_boilerplate(texts: pa.Array, article: np.ndarray, settings: Settings) -> list[str]:
+    """Texts of one host; a text that several pages have is looked at once, for a copy proves no boilerplate."""
+    coded = texts.dictionary_encode()
+    of = coded.indices.to_numpy(zero_copy_only=False)
+    marked = np.zeros(len(coded.dictionary), dtype=bool)
+    marked[of[article]] = True
+    cleaned = _clean_distinct(coded.dictionary, marked, settings)
+    return [cleaned[i] for i in of.tolist()]
+
+
+def _clean_distinct(texts: pa.Array, article: np.ndarray, settings: Settings) -> list[str]:
+    """Different texts of a host without what they share."""
+    outside, inside = _needs(len(texts), settings)
+    needs = np.where(article, inside, outside)
+    if len(texts) < needs.min():
+        return texts.to_pylist()
+    hashes, page = _tokens(texts)
+    return _without(texts, hashes, page, repeated_tokens(_numbered(hashes), page, needs[page], settings.min_tokens))
+
+
+def _without(texts: pa.Array, hashes: np.ndarray, page: np.ndarray, covered: np.ndarray) -> list[str]:
+    """Texts without their covered tokens; blocks are lines with an empty line between."""
+    out = texts.to_pylist()
     for i in np.unique(page[covered]).tolist():
-        keep, tokens = ~covered[(page == i) & (symbols > 0)], 0
+        a, b = np.searchsorted(page, [i, i + 1])
+        keep, tokens = ~covered[a:b][hashes[a:b] > 0], 0
         blocks = []
         for block in out[i].split("\n\n"):
             own = [t for t in re.split(r"[\x20\x09-\x0D]+", block) if t]
@@ -265,6 +312,125 @@ def _clean_distinct(texts: pa.Array, article: np.ndarray, settings: Settings) ->
     return out
 
 
+def _column(table: pa.Table, name: str) -> pa.Array:
+    column = table.column(name).combine_chunks()
+    return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+
+
+def _texts_of(group: pa.Table, told: pa.Table, owned: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Different texts of a group (or those that it counts), whether a page of the host marks them, and of which row each is the text."""
+    codes = group.column("code").to_numpy()
+    names = told.filter(pa.compute.equal(told.column("kind"), 0))
+    if owned:
+        names = names.filter(names.column("a"))
+    known = names.column("code").to_numpy()
+    different, first, of = np.unique(codes, return_index=True, return_inverse=True)
+    at = np.searchsorted(different, known)
+    order = np.argsort(at)
+    return _column(group, "text").take(pa.array(first[at[order]])), names.column("b").to_numpy(zero_copy_only=False)[order].astype(bool), of
+
+
+def _boilerplate(pages: DataFrame, settings: Settings) -> DataFrame:
+    """What groups must be told (``host, group, kind, code, a, b``): of their texts (kind 0) whether they count them and
+    whether they are marked, of boilerplate (kind 1) whether it goes outside and inside marked articles.
+
+    The pages of a stretch are counted over all groups of a host. A stretch on a share of all different texts is on half of it in so
+    many groups that these tell of it (``_reported``, by suffix arrays); the stretches told of are then counted everywhere. Only these
+    numbers are sent: the pages stay in the groups to which one shuffle dealt them.
+    """
+    n_tokens = settings.min_tokens
+    groups = pages.groupBy("host", "group")
+
+    def name_texts(table: pa.Table) -> pa.Table:
+        if table.column("groups")[0].as_py() == 1 or table.column("host")[0].as_py() == "":
+            table = table.slice(0, 0)
+        found = table.group_by(["host", "group", "code"]).aggregate([("article", "any")])
+        return found.select(["host", "group", "code", "article_any"]).rename_columns(["host", "group", "code", "marked"])
+
+    copies = Window.partitionBy("host", "code")
+    texts = groups.applyInArrow(name_texts, "host string, group long, code long, marked boolean").select(
+        "host", "group", F.lit(0).alias("kind"), "code",
+        (F.min("group").over(copies) == F.col("group")).alias("a"), F.max("marked").over(copies).alias("b"),
+    )
+    n = F.sum(F.col("a").cast("long"))
+    share = min(settings.min_share, settings.article_share)
+    hosts = texts.groupBy("host", "group").agg(n.alias("n"))
+    hosts = hosts.withColumn("unseen", F.greatest(F.lit(1), F.ceil(F.lit(share / 2) * F.col("n"))) - 1)
+    hosts = hosts.groupBy("host").agg(F.sum("n").alias("n"), F.sum("unseen").alias("unseen"), F.collect_list("group").alias("in_groups"))
+    hosts = hosts.select(
+        "host", "unseen", "in_groups",
+        F.greatest(F.lit(settings.min_pages), F.ceil(F.lit(settings.min_share) * F.col("n"))).alias("outside"),
+        F.greatest(F.lit(settings.article_pages), F.ceil(F.lit(settings.article_share) * F.col("n"))).alias("inside"),
+    )
+
+    def told(host: str, codes: np.ndarray, numbers: np.ndarray) -> pa.Table:
+        names = pa.array([host] * len(codes), pa.string())
+        return pa.table([names, pa.array(codes, pa.int64()), pa.array(numbers, pa.int64())], names=["host", "code", "pages"])
+
+    def report(group: pa.Table, right: pa.Table) -> pa.Table:
+        host = group.column("host")[0].as_py()
+        none = told(host, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if not right.num_rows:
+            return none
+        own = _texts_of(group, right, True)[0]
+        if not len(own):
+            return none
+        least = _reported(len(own), settings)
+        hashes, page = _tokens(own)
+        order, stretch, on = _stretches(_numbered(hashes), page, n_tokens)
+        stretch, first = np.unique(stretch, return_index=True)
+        often = on[stretch] >= least
+        # by how much it is more than a group may leave untold
+        return told(host, _stretch_hashes(hashes, order[first[often]], n_tokens), on[stretch[often]] - (least - 1))
+
+    def count(group: pa.Table, right: pa.Table) -> pa.Table:
+        host = group.column("host")[0].as_py()
+        asked = np.sort(right.filter(pa.compute.equal(right.column("kind"), 1)).column("code").to_numpy())
+        own = _texts_of(group, right, True)[0] if len(asked) else []
+        if not len(own):
+            return told(host, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        hashes, page = _tokens(own)
+        starts = _stretch_starts(hashes, n_tokens)
+        found = _stretch_hashes(hashes, starts, n_tokens)
+        at = np.minimum(np.searchsorted(asked, found), len(asked) - 1)
+        hit = asked[at] == found
+        pairs = np.unique(at[hit] * len(own) + page[starts[hit]]) // len(own)
+        on = np.bincount(pairs, minlength=len(asked))
+        return told(host, asked[on > 0], on[on > 0])
+
+    def to_groups(stretches: DataFrame, a: Column, b: Column) -> DataFrame:
+        return stretches.select("host", F.explode("in_groups").alias("group"), F.lit(1).alias("kind"), "code", a.alias("a"), b.alias("b"))
+
+    numbers = "host string, code long, pages long"
+    said = groups.cogroup(texts.groupBy("host", "group")).applyInArrow(report, numbers)
+    asked = said.groupBy("host", "code").agg(F.sum("pages").alias("pages")).join(hosts, "host")
+    asked = asked.where(F.col("pages") + F.col("unseen") >= F.least("outside", "inside"))
+    asked = texts.unionByName(to_groups(asked, F.lit(False), F.lit(False)))
+    counted = groups.cogroup(asked.groupBy("host", "group")).applyInArrow(count, numbers)
+    counted = counted.groupBy("host", "code").agg(F.sum("pages").alias("pages")).join(hosts, "host")
+    counted = counted.where(F.col("pages") >= F.least("outside", "inside"))
+    return texts.unionByName(to_groups(counted, F.col("pages") >= F.col("outside"), F.col("pages") >= F.col("inside")))
+
+
+def _without_told(group: pa.Table, right: pa.Table, settings: Settings) -> list[str]:
+    """Texts of a group without the boilerplate of its host."""
+    texts, marked, of = _texts_of(group, right, False)
+    stretches = right.filter(pa.compute.equal(right.column("kind"), 1))
+    codes = stretches.column("code").to_numpy()
+    cleaned = texts.to_pylist()
+    if len(codes):
+        order = np.argsort(codes)
+        codes = codes[order]
+        goes = np.stack([stretches.column(c).to_numpy(zero_copy_only=False).astype(bool)[order] for c in ("a", "b")])
+        hashes, page = _tokens(texts)
+        starts = _stretch_starts(hashes, settings.min_tokens)
+        found = _stretch_hashes(hashes, starts, settings.min_tokens)
+        at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
+        gone = (codes[at] == found) & goes[marked[page[starts]].astype(np.int64), at]
+        cleaned = _without(texts, hashes, page, _cover(starts[gone], len(hashes), settings.min_tokens))
+    return [cleaned[i] for i in of.tolist()]
+
+
 def extract(pages: DataFrame, id: str = "page_id", url: str = "url", page: str = "html", settings: Settings = Settings()) -> DataFrame:
     """``id, url, text`` of every page."""
     pages = pages.select(id, url, page)
@@ -289,7 +455,11 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", page: str =
     blocks = blocks.join(F.broadcast(large) if fits(large, settings.max_broadcast) else large, "host", "left")
     own = F.when(F.col("host") == "", F.xxhash64("text"))
     group = F.pmod(F.xxhash64(F.col(id), F.col(url), own), F.coalesce("groups", F.lit(1)))
-    blocks = blocks.select("host", group.alias("group"), id, url, "text", "article")
+    # hosts of several groups: different texts are known by a hash
+    several = large.where("host <> ''").limit(1).count() > 0
+    names = [F.coalesce("groups", F.lit(1)).alias("groups"), F.xxhash64("text").alias("code")] if several else []
+    page_keys = [F.col(id).alias("_id"), F.col(url).alias("_url")]  # their own names may be anything
+    blocks = blocks.select("host", group.alias("group"), *page_keys, "text", "article", *names)
     # more partitions than the session's where these would hold more than ``task_bytes`` each
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
     tasks = int(total // settings.task_bytes) + 1
@@ -297,13 +467,20 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", page: str =
         blocks = blocks.repartition(tasks, "host", "group")
     result = StructType([*kept, StructField("text", parsed["text"].dataType)])
 
+    def clean_told(table: pa.Table, right: pa.Table | None) -> pa.Table:
+        if right is not None and right.num_rows:
+            cleaned = pa.array(_without_told(table, right, settings), pa.string())
+        elif table.column("host")[0].as_py() == "":
+            cleaned = _column(table, "text")
+        else:
+            marked = table.column("article").to_numpy().astype(bool)
+            cleaned = pa.array(_without_boilerplate(_column(table, "text"), marked, settings), pa.string())
+        return pa.table([table.column("_id"), table.column("_url"), cleaned], names=result.names)
+
     def clean(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        text = table.column("text").combine_chunks()
-        text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
-        marked = table.column("article").to_numpy(zero_copy_only=False).astype(bool)
-        hostless = table.column("host")[0].as_py() == ""
-        cleaned = text if hostless else pa.array(_without_boilerplate(text, marked, settings), pa.string())
-        return pa.table([table.column(id), table.column(url), cleaned], names=result.names)
-
-    return blocks.groupBy("host", "group").applyInArrow(clean, result)
+        return clean_told(table, None)
+
+    groups = blocks.groupBy("host", "group")
+    if not several:
+        return groups.applyInArrow(clean, result)
+    return groups.cogroup(_boilerplate(blocks, settings).groupBy("host", "group")).applyInArrow(clean_told, result)

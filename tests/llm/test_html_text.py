@@ -127,3 +127,32 @@ def test_pages_without_a_host_are_dealt_out_and_not_compared(spark, monkeypatch)
     monkeypatch.setattr(GroupedData, "applyInArrow", counted)
     got = ht.extract(pages, settings=ht.Settings(group_bytes=400)).collect()
     assert seen and sorted(r.text for r in got) == sorted(f"{notice}\n\nOwn {i}" for i in range(60))
+
+
+def test_a_host_of_several_groups_gives_what_one_group_gives(spark):
+    draw = np.random.default_rng(3)
+
+    def words(n):
+        return " ".join(f"w{i}" for i in draw.integers(0, 3000, n))
+
+    shared = [words(12) for _ in range(6)]
+    rows = []
+    for n in range(300):
+        # stretches on 2/3, 1/4, a fifth of the pages and a bit less; one only on marked pages, one on copies
+        on = [shared[0]] * (n % 3 > 0) + [shared[1]] * (n % 4 == 1) + [shared[2]] * (n % 5 == 2) + [shared[3]] * (n % 6 == 3)
+        on += [shared[4]] * (n % 20 != 7)
+        body = f"<p>{words(20)}</p>" + "".join(f"<p>{x}</p>" for x in on) + f"<p>{words(5)}</p>"
+        host = "big" if n < 240 else "small" if n < 290 else ""
+        rows.append((n, f"http://{host}/{n}" if host else None, f"<article>{body}</article>" if n % 2 else body))
+    # copies, of which some are marked, are one page
+    rows += [(1000 + n, "http://big/copy", (f"<article><p>{shared[5]} end</p></article>" if n == 30 else f"<p>{shared[5]} end</p>")) for n in range(80)]
+    rows += [(n, u, h) for n, u, h in rows[:20]] + [(2000, "http://big/none", None), (2001, "http://big/empty", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+
+    def texts(group_bytes):
+        return sorted((r.page_id, r.url or "", r.text) for r in ht.extract(pages, settings=ht.Settings(group_bytes=group_bytes)).collect())
+
+    whole = texts(1 << 30)
+    assert len(whole) == len(rows) and sum("\n\n" in t for _, _, t in whole) > 200
+    for group_bytes in (16_000, 3_000, 500):
+        assert texts(group_bytes) == whole
