@@ -52,3 +52,16 @@ def test_model_report(spark):
     assert evaluated.predictions.where("prob BETWEEN 0 AND 1").count() == evaluated.predictions.count() > 0
     assert set(values) == {"auc", "f1", "precision", "recall"}
     assert 0.0 <= values["f1"] <= 1.0
+
+
+def test_training_reads_the_order_lines_of_admissions_once(spark, monkeypatch):
+    plans = {}
+
+    def seen(rows, name):
+        plans[name] = rows._jdf.queryExecution().optimizedPlan().toString()
+        return materialize(rows, name)
+
+    materialize = case_queries.materialize
+    monkeypatch.setattr(case_queries, "materialize", seen)
+    case_queries.epoch_training(Tables(spark, SF))
+    assert "min(l_returnflag" in plans["admissions"] and "min(l_returnflag" not in plans["training-features"]
