@@ -32,6 +32,27 @@ def test_parts_give_the_ids_of_the_whole_text(spark):
     assert len(small.known) <= 50
 
 
+def test_only_parts_that_come_again_take_room():
+    encoder = Encoder(default_path(), max_remembered=50)
+    numbered = ["z" + "".join(chr(97 + int(c)) for c in str(i)) for i in range(3000)]
+    again = ["again", "a", "third"]
+    texts = [" ".join([*numbered[i : i + 30], *again]) for i in range(0, 3000, 30)]
+    for text in texts:
+        assert encoder.encode([text]) == [np.array(plain([text])[0], dtype="<u4").tobytes()]
+    assert set(again) <= set(encoder.known) and len(encoder.known) < 50
+
+
+def test_words_with_marks_give_the_ids_of_the_whole_text():
+    rng = np.random.default_rng(5)
+    alphabet = list("aZéßǅʼ'.,$!²½1xsd ’Ω语\n \t\u00a0\u2003\u3000") + ["word", " ", "\n"] * 3
+    texts = ["".join(rng.choice(alphabet, size=n)) for n in rng.integers(0, 40, 3000)]
+    texts += ["Ünïté&&& \"so\" it's. don't!' x.'s\nÉtat$$$ *** a<|endoftext|>b", None, ""]
+    for encoder in (Encoder(default_path()), Encoder(default_path(), max_remembered=20, met_places=8)):
+        for at in range(0, len(texts), 100):
+            got = encoder.encode(texts[at : at + 100])
+            assert got == [np.array(ids, dtype="<u4").tobytes() for ids in plain(texts[at : at + 100])]
+
+
 def check_packed(rows, docs):
     ids = {d: i + [0] for d, i in zip(docs, plain(docs.values()))}
     pieces, sequences = defaultdict(list), defaultdict(list)
