@@ -5,6 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as registered
+from casegraph.operators import model as mo
+from casegraph.operators import training as tr
 from oracle import connect, difference
 from workload import case_queries
 from workload.tables import Tables
@@ -65,3 +67,15 @@ def test_training_reads_the_order_lines_of_admissions_once(spark, monkeypatch):
     monkeypatch.setattr(case_queries, "materialize", seen)
     case_queries.epoch_training(Tables(spark, SF))
     assert "min(l_returnflag" in plans["admissions"] and "min(l_returnflag" not in plans["training-features"]
+
+
+def test_mortality_model_trains_for_all_epochs(spark, monkeypatch):
+    schedules = []
+
+    def seen(training, validation, schedule):
+        schedules.append(schedule)
+        return tr.Trained(mo.LinearModel((), 0.0), 0, None, [])
+
+    monkeypatch.setattr(tr, "train_epochs", seen)
+    assert registered.queries()["mortality_model"](spark, SF).count() == 0
+    assert schedules == [tr.Schedule()] and (schedules[0].epochs, schedules[0].learning_rate, schedules[0].every) == (300, 1e-3, 10)
