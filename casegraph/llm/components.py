@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegraph.session import materialize
+from casegraph.session import checked, materialize
+
+#: Links that Spark may broadcast if their files are small.
+MAX_BROADCAST = 500_000
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
@@ -13,19 +16,20 @@ def _ordered(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, few: bool) -> DataFrame:
     """Larger neighbours of a node are tied to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("least"))
     to_larger = edges.select(F.col("b").alias("node"), F.col("a").alias("far"))
+    least = least if few else checked(least)
     tied = to_larger.join(least, to_larger["node"] == least["a"])
     return _ordered(tied.select(F.col("far").alias("a"), F.least("node", "least").alias("b")))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, few: bool) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    tied = edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    tied = edges.join(least if few else checked(least), "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return _ordered(tied.union(least.select("a", F.col("least").alias("b"))))
 
 
@@ -43,7 +47,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not state[0]:
             break
-        current = materialize(_small_star(_large_star(current)), "links")
+        few = state[0] <= MAX_BROADCAST
+        current = materialize(_small_star(_large_star(current, few), few), "links")
         before, state = state, mark(current)
         if state == before:
             break

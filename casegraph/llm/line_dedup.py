@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casegraph.llm.columns import set_aside
-from casegraph.session import drop_table, fits, materialize
+from casegraph.session import checked, drop_table, fits, materialize
 
 
 @dataclass(frozen=True)
@@ -161,6 +161,10 @@ def _repeat(move, state: Column, times: int) -> Column:
     return state
 
 
+def _small(df: DataFrame, settings: Settings) -> DataFrame:
+    return F.broadcast(df) if fits(df, settings.max_broadcast) else checked(df)
+
+
 def segment_rows(lines: DataFrame, settings: Settings) -> DataFrame:
     """``id, place, key`` of all segments that lines share with others; ``place`` is an index of ``all_places``."""
     lines = lines.where(F.col("chars") >= settings.chars_per_edit).select(F.col("h1").alias("id"), "chars", "folded")
@@ -168,8 +172,7 @@ def segment_rows(lines: DataFrame, settings: Settings) -> DataFrame:
     # most segments are those of one line only: they are found by two numbers per key, and go before any join
     shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key")
     shared = materialize(shared, "shared-segments")
-    few = F.broadcast(shared) if fits(shared, settings.max_broadcast) else shared
-    kept = materialize(rows.join(few, "key", "left_semi"), "segment-rows")
+    kept = materialize(rows.join(_small(shared, settings), "key", "left_semi"), "segment-rows")
     drop_table(rows)
     drop_table(shared)
     return kept
@@ -178,10 +181,10 @@ def segment_rows(lines: DataFrame, settings: Settings) -> DataFrame:
 def with_first(rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """Segment rows with their lines' ``at`` and ``counts``, the ``edits`` of the place, and ``first``, the earliest line
     that has the segment; ``texts`` are ``id, at, counts``."""
-    rows = rows.join(texts.select("id", "at", "counts"), "id")
+    rows = rows.join(checked(texts.select("id", "at", "counts")), "id")
     first = rows.groupBy("key").agg(F.min(F.struct("at", "id", "counts")).alias("first"))
     edits = F.element_at(F.array(*(F.lit(place[0]) for place in all_places(settings))), F.col("place") + 1)
-    return rows.withColumn("edits", edits).join(first, "key")
+    return rows.withColumn("edits", edits).join(checked(first), "key")
 
 
 def near_pairs(rows: DataFrame, settings: Settings, late: DataFrame | None = None) -> DataFrame:
@@ -195,7 +198,7 @@ def near_pairs(rows: DataFrame, settings: Settings, late: DataFrame | None = Non
         near = counts_differ("counts", "first.counts") <= 2 * F.col("edits")
         pairs = rows.where((F.col("id") != F.col("first.id")) & near)
         return pairs.select(F.col("id").alias("b"), F.col("first.id").alias("a"), "edits").distinct()
-    open_ = rows.join(late.select("id"), "id", "left_anti")
+    open_ = rows.join(checked(late.select("id")), "id", "left_anti")
     own = F.col("place").isin([n for n, place in enumerate(where) if place[1] == 0 and place[3] == 0])
     shorter = F.col("place").isin([n for n, place in enumerate(where) if place[1] > 0])
 
@@ -203,7 +206,7 @@ def near_pairs(rows: DataFrame, settings: Settings, late: DataFrame | None = Non
         b = later.select("key", "edits", F.col("first.id").alias("lead"), *(F.col(c).alias(f"{c}_b") for c in ("id", "at", "counts")))
         a = earlier.select("key", *(F.col(c).alias(f"{c}_a") for c in ("id", "at", "counts")))
         near = counts_differ("counts_a", "counts_b") <= 2 * F.col("edits")
-        both = b.join(a, (b["key"] == a["key"]) & (F.col("id_a") != F.col("lead")) & (F.col("at_a") < F.col("at_b")) & near)
+        both = b.join(checked(a), (b["key"] == a["key"]) & (F.col("id_a") != F.col("lead")) & (F.col("at_a") < F.col("at_b")) & near)
         return both.select(F.col("id_b").alias("b"), F.col("id_a").alias("a"), "edits")
 
     # a line meets those that are not longer under their own segments; the shorter one may also be the later
@@ -213,7 +216,8 @@ def near_pairs(rows: DataFrame, settings: Settings, late: DataFrame | None = Non
 def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """``id`` of the later lines of the pairs that are within the edits."""
     for side in ("b", "a"):
-        pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("letters").alias(f"letters_{side}")), side)
+        # letters as an array take sixteen times the bytes of the text, and far more than in their file
+        pairs = pairs.join(checked(texts.select(F.col("id").alias(side), F.col("letters").alias(f"letters_{side}"))), side)
     near = F.lit(False)
     for edits in range(1, settings.edits + 1):
         near = F.when(F.col("edits") == edits, within_edits(F.col("letters_b"), F.col("letters_a"), edits)).otherwise(near)
@@ -234,32 +238,29 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", setti
     lines = lines_of(docs, id, text)
     place = F.struct("doc", "version", "line")
 
-    def small(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if fits(df, settings.max_broadcast) else df
-
     # equal lines: places and hashes are written once; only hashes that occur again are looked at any further
     slim = materialize(lines.select("doc", "version", "line", "h1", "h2"), "line-hashes")
     again = slim.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
     again = materialize(again, "equal-lines")
-    equal = materialize(slim.join(small(again), ["h1", "h2"], "left_semi"), "equal-line-places")
+    equal = materialize(slim.join(_small(again, settings), ["h1", "h2"], "left_semi"), "equal-line-places")
     drop_table(slim)
     drop_table(again)
     first = materialize(equal.groupBy("h1", "h2").agg(F.min(place).alias("first")), "first-lines")
     # many places of one line are on the left; on the right it is one row
-    repeats = equal.join(first, ["h1", "h2"]).where(place != F.col("first")).select("doc", "version", "line")
+    repeats = equal.join(_small(first, settings), ["h1", "h2"]).where(place != F.col("first")).select("doc", "version", "line")
     if settings.edits < 1:
         return repeats.distinct()
 
     # each different line once, where it stands first
-    different = lines.join(small(first), ["h1", "h2"], "left").where(F.col("first").isNull() | (place == F.col("first")))
+    different = lines.join(_small(first, settings), ["h1", "h2"], "left").where(F.col("first").isNull() | (place == F.col("first")))
     rows = segment_rows(different, settings)
     wanted = materialize(rows.select(F.col("id").alias("h1")).distinct(), "lines-with-shared-segments")
-    texts = different.join(small(wanted), "h1", "left_semi")
+    texts = different.join(_small(wanted, settings), "h1", "left_semi")
     # of lines that share a segment only
     texts = texts.select(F.col("h1").alias("id"), place.alias("at"), letter_counts().alias("counts"), F.split("folded", "").alias("letters"))
     # written, so that a line is taken apart once and not for each of its letters
     texts = materialize(texts.dropDuplicates(["id"]), "line-texts")
-    late = texts.join(late_lines(rows, texts, settings), "id", "left_semi")
+    late = texts.join(checked(late_lines(rows, texts, settings)), "id", "left_semi")
     removed = materialize(repeats.union(late.select("at.*")).distinct(), "removed-lines")
     for table in (equal, first, rows, wanted, texts):
         drop_table(table)
@@ -276,7 +277,9 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", setting
     """``docs`` with texts without the removed lines, and ``n_lines`` and ``n_removed`` of each."""
     counts = ["n_lines", "n_removed"]
     removed = removed_lines(docs.select(id, text), id, text, settings)
+    few = fits(removed, settings.max_broadcast)
     removed = removed.groupBy("doc", "version").agg(F.collect_list("line").alias("gone"))
+    removed = removed if few else checked(removed)
     # the other columns travel in one, so that none can clash
     others = [c for c in docs.columns if c != text and c.lower() not in counts]
     packed = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"), F.struct(*others).alias("row"))

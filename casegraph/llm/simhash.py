@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from casegraph.llm.components import components
 from casegraph.llm.words import LOWER, NON_SPACE, append_columns, find_words, slices
-from casegraph.session import fits, materialize
+from casegraph.session import checked, fits, materialize
 
 BITS = 64
 STEP = 4  # bits per join of node tables
@@ -215,25 +215,32 @@ def link_fingerprints(distinct: DataFrame, budget: int = 3, node_size: int = 32_
     return met.groupBy("da", "a", "db", "b").applyInArrow(traverse, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", budget: int = 3) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", budget: int = 3, max_broadcast: int = 500_000
+) -> DataFrame:
     """``id, fingerprint, component_id`` of every row; the component's id is its smallest document id."""
     marked = materialize(fingerprints(docs, text, keep=[id]), "fingerprints")
     distinct = materialize(marked.groupBy("fingerprint_bits").agg(F.min(id).alias("least")), "distinct-fingerprints")
-    roots = components(link_fingerprints(distinct, budget))
+    few = fits(marked, max_broadcast)  # no table below has more rows
+
+    def side(df: DataFrame) -> DataFrame:
+        return df if few else checked(df)
+
+    roots = side(components(link_fingerprints(distinct, budget)))
     grouped = distinct.join(roots, distinct["fingerprint_bits"] == roots["node"], "left").select(
         "fingerprint_bits", "least", F.coalesce("root", "fingerprint_bits").alias("root")
     )
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = grouped.join(least, "root").select("fingerprint_bits", "component_id")
-    return marked.join(classes, "fingerprint_bits").select(
+    classes = grouped.join(side(least), "root").select("fingerprint_bits", "component_id")
+    return marked.join(side(classes), "fingerprint_bits").select(
         id, F.lower(F.lpad(F.hex("fingerprint_bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_first(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", budget: int = 3, max_broadcast: int = 2_000_000
+    docs: DataFrame, id: str = "doc_id", text: str = "text", budget: int = 3, max_broadcast: int = 500_000
 ) -> DataFrame:
     """One document of each group: the one with the smallest id. Rows with the same id stay or go together."""
-    classes = materialize(near_duplicates(docs, id, text, budget), "near-duplicates")
+    classes = materialize(near_duplicates(docs, id, text, budget, max_broadcast), "near-duplicates")
     gone = classes.where(F.col(id) != F.col("component_id")).select(id).distinct()
-    return docs.join(F.broadcast(gone) if fits(gone, max_broadcast) else gone, id, "left_anti").select(*docs.columns)
+    return docs.join(F.broadcast(gone) if fits(gone, max_broadcast) else checked(gone), id, "left_anti").select(*docs.columns)

@@ -127,3 +127,26 @@ def test_columns_with_internal_names(spark):
     rows = {r.doc_id: r.asDict() for r in got.collect()}
     assert rows[1] == {"doc_id": 1, "text": "The same line in both of the documents."} | own
     assert rows[2] == {"doc_id": 2, "text": ""} | own
+
+
+def test_tables_of_unchecked_size_are_not_broadcast(spark, monkeypatch):
+    """Spark takes them for as small as their files."""
+    rng, plans = random.Random(5), {}
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(40)]
+    rows = [(i, "\n".join([edited(rng, rng.choice(lines), rng.randrange(3)) for _ in range(4)] + [lines[i % 7]])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def seen(rows, name):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return materialize(rows, name)
+
+    materialize = ld.materialize
+    monkeypatch.setattr(ld, "materialize", seen)
+    want = sorted(map(tuple, ld.dedup_lines(docs).collect()))
+    for name in ("segments-and-first", "lines-near-the-first", "lines-near-others"):
+        assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name]
+    plans.clear()
+    cleaned = ld.dedup_lines(docs, settings=ld.Settings(max_broadcast=0))
+    plans["result"] = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert not [name for name, plan in plans.items() if "Broadcast" in plan]
+    assert sorted(map(tuple, cleaned.collect())) == want and sum(r[3] for r in want) > 60

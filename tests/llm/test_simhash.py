@@ -69,3 +69,14 @@ def test_trie_join_splits_nodes(spark):
         links = sh.link_fingerprints(frame, node_size=size)
         got = {r.node: r.root for r in sh.components(links).collect()}
         assert {i: got.get(i, i) for i in ids} == expected
+
+
+def test_fingerprints_beyond_the_bound_are_not_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the same {i % 5} words stand here") for i in range(30)], "doc_id long, text string")
+    few = sh.near_duplicates(docs)
+    monkeypatch.setattr("casegraph.llm.components.MAX_BROADCAST", 0)
+    many = sh.near_duplicates(docs, max_broadcast=0)
+    assert "Broadcast" in (plan := lambda df: df._jdf.queryExecution().executedPlan().toString())(few) and "Broadcast" not in plan(many)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    kept = sh.keep_first(docs, max_broadcast=0)
+    assert "Broadcast" not in plan(kept) and kept.count() == sh.keep_first(docs).count()
