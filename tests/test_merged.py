@@ -1,6 +1,8 @@
 import os
+import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from casegraph.operators import graph as gr
@@ -84,3 +86,34 @@ def test_two_batches_are_one_graph(spark, tmp_path):
             if name in ("Diagnosis", "Procedure"):  # the version is the first batch's
                 got, want = got.select("icd_code"), want.select("icd_code")
             assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_a_delta_is_computed_once_and_shuffled_once(spark, tmp_path, monkeypatch):
+    t, seen, plans = table(tmp_path, overwrite=("new",)), spark.sparkContext.accumulator(0), []
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def written(self, path, write=DataFrameWriter.parquet, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", written)
+    for n in (100, 150):
+        delta = frame(spark, [(i, "x", "p", f"q{n}", 0) for i in range(n)])
+        seen.value = 0
+        mg.merge_rows(delta.mapInArrow(count, delta.schema), t)
+        assert seen.value == n
+    assert [len(re.findall(r" Exchange ", p)) for p in plans if "bucket" in p] == [1, 1]
+    assert rows_of(spark, t) == [(i, "x", "p", "q150", 0) for i in range(150)]
+
+
+def test_shuffles_of_a_merged_graph_go_with_each_table(spark, tmp_path, monkeypatch):
+    name, values = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    monkeypatch.setattr(stages, "merge_rows", lambda rows, t: values.append(spark.conf.get(name)))
+    before = spark.conf.get(name)
+    nodes = {n: frame(spark, []) for n in ("Patient", "Admission")}
+    stages.merge_graph(gr.CaseGraph(nodes, {}), str(tmp_path))
+    assert values == ["true", "true"] and spark.conf.get(name) == before
